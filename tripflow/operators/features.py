@@ -343,29 +343,12 @@ def split_overview(features: DataFrame) -> DataFrame:
 
 
 def train_correlations(features: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson r of each column with the target, on the train split only; pairs with a NULL are left out.
-
-    From exact sums, so the result does not depend on how rows were spread over tasks.
-    """
+    """Pearson r of each column with the target, on the train split only; pairs with a NULL are left out."""
     train = features.filter(F.col(SPLIT_COLUMN) == "train")
-    long = train.select(F.col(TARGET_COLUMN).alias("_y"), *[F.col(c).cast("double") for c in columns]).unpivot(
-        ["_y"], columns, "column_name", "_raw"
-    )
-    x = F.col("_raw").cast("decimal(18,6)")
-    y = F.col("_y").cast("decimal(12,0)")
-    sums = (
-        long.filter("_raw is not null")
+    long = train.select(F.col(TARGET_COLUMN).cast("double").alias("_y"), *[F.col(c).cast("double") for c in columns])
+    return (
+        long.unpivot(["_y"], columns, "column_name", "_x")
+        .filter("_x is not null")
         .groupBy("column_name")
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum(x).cast("double").alias("sx"),
-            F.sum(y).cast("double").alias("sy"),
-            F.sum((x * x).cast("decimal(28,6)")).cast("double").alias("sxx"),
-            F.sum((y * y).cast("decimal(28,0)")).cast("double").alias("syy"),
-            F.sum((x * y).cast("decimal(28,6)")).cast("double").alias("sxy"),
-        )
+        .agg(F.count(F.lit(1)).alias("pairs"), F.corr("_x", "_y").alias("r"))
     )
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    spread = F.sqrt((n * F.col("sxx") - sx * sx) * (n * F.col("syy") - sy * sy))
-    r = (n * F.col("sxy") - sx * sy) / F.nullif(spread, F.lit(0.0))
-    return sums.select("column_name", n.cast("long").alias("pairs"), r.alias("r"))

@@ -36,7 +36,8 @@ def date_rows(df: DataFrame) -> DataFrame:
 
 def location_ids(df: DataFrame) -> DataFrame:
     """Distinct zone ids over pickups and dropoffs, from one scan."""
-    both = df.select(F.explode(F.array("PULocationID", "DOLocationID")).cast("int").alias("location_id"))
+    ids = F.array(F.col("PULocationID").cast("int"), F.col("DOLocationID").cast("int"))
+    both = df.select(F.explode(ids).alias("location_id"))
     return both.filter("location_id is not null").distinct()
 
 
