@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import schemas
@@ -18,7 +18,10 @@ from tripflow.sources.sample import SAMPLE_MONTH, SAMPLE_NOW
 from tripflow.sources.warehouse import MART_TABLE, Warehouse
 
 _MONTH_JUDGED = judged(MONTH_RULE)
-_N = F.count(F.lit(1))
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _one_month(body: str, upto: str = "mart") -> str:
@@ -79,7 +82,7 @@ def fact_insert(s: Sample) -> DataFrame:
     return (
         wh.read("fact_trip")
         .groupBy("trip_month")
-        .agg(_N.alias("rows"), F.count_distinct("trip_key").alias("keys"), F.sum("total_amount").alias("revenue"))
+        .agg(_rows().alias("rows"), F.count_distinct("trip_key").alias("keys"), F.sum("total_amount").alias("revenue"))
         .withColumn("added_again", F.lit(again).cast("long"))
     )
 
@@ -210,7 +213,7 @@ def refresh(s: Sample) -> DataFrame:
 )
 def partitioned_layout(s: Sample) -> DataFrame:
     """The stored fact, one folder per month, read back by month and zone."""
-    return _filled(s).read("fact_trip").groupBy("trip_month", "pickup_location_key").agg(_N.alias("trips"))
+    return _filled(s).read("fact_trip").groupBy("trip_month", "pickup_location_key").agg(_rows().alias("trips"))
 
 
 @query(

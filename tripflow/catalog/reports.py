@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.catalog.oracle import with_trips
@@ -10,7 +10,10 @@ from tripflow.catalog.registry import Sample, query
 from tripflow.operators import analytics, reconcile
 from tripflow.sources import warehouse
 
-_N = F.count(F.lit(1))
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 @query(
@@ -23,7 +26,7 @@ _N = F.count(F.lit(1))
 )
 def fact_join_date(s: Sample) -> DataFrame:
     """All trips, also those without a pickup: they match no date."""
-    per_day = s.unjudged_fact.groupBy("date_key").agg(_N.alias("n"))
+    per_day = s.unjudged_fact.groupBy("date_key").agg(_rows().alias("n"))
     return per_day.join(s.dim_date, "date_key").groupBy("year", "month", "day_name").agg(F.sum("n").alias("trips"))
 
 
@@ -39,7 +42,7 @@ def fact_join_date(s: Sample) -> DataFrame:
     ),
 )
 def fact_join_location(s: Sample) -> DataFrame:
-    per_zone = s.unjudged_fact.groupBy(F.col("pickup_location_key").alias("location_key")).agg(_N.alias("n"))
+    per_zone = s.unjudged_fact.groupBy(F.col("pickup_location_key").alias("location_key")).agg(_rows().alias("n"))
     zones = s.dim_location.select("location_key", "location_id")
 
     def joined(kind: str) -> DataFrame:
@@ -61,7 +64,7 @@ def fact_join_location(s: Sample) -> DataFrame:
     ),
 )
 def fact_join_payment(s: Sample) -> DataFrame:
-    per_key = s.unjudged_fact.groupBy("payment_type_key").agg(_N.alias("n"))
+    per_key = s.unjudged_fact.groupBy("payment_type_key").agg(_rows().alias("n"))
 
     def joined(kind: str) -> DataFrame:
         rows = per_key.join(s.payment, "payment_type_key", kind)
@@ -79,7 +82,7 @@ def fact_join_payment(s: Sample) -> DataFrame:
     ),
 )
 def fact_join_vendor_payment(s: Sample) -> DataFrame:
-    per_key = s.fact.groupBy("vendor_key", "payment_type_key").agg(_N.alias("n"), F.sum("total_amount").alias("sum"))
+    per_key = s.fact.groupBy("vendor_key", "payment_type_key").agg(_rows().alias("n"), F.sum("total_amount").alias("sum"))
     named = per_key.join(s.vendor, "vendor_key").join(s.payment, "payment_type_key")
     return named.groupBy("vendor_id", "payment_type_id").agg(
         F.sum("n").alias("trips"), F.sum("sum").cast("double").alias("revenue")
@@ -96,7 +99,7 @@ def fact_join_vendor_payment(s: Sample) -> DataFrame:
 )
 def fact_join_rate_code(s: Sample) -> DataFrame:
     """The inner join drops trips without a rate code; ``dropped`` says how many."""
-    per_key = s.fact.groupBy("rate_code_key").agg(_N.alias("n"))
+    per_key = s.fact.groupBy("rate_code_key").agg(_rows().alias("n"))
     dropped = per_key.filter("rate_code_key is null").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("dropped"))
     named = per_key.join(s.rate_code, "rate_code_key").select("rate_code_id", F.col("n").alias("trips"))
     # One row on the right: a constant key attaches it to the few rate codes.
@@ -146,7 +149,7 @@ def orphan_keys(s: Sample) -> DataFrame:
 def insert_if_absent(s: Sample) -> DataFrame:
     """New rows per month when the table already holds the flagged trips."""
     fresh = warehouse.absent_rows_staged(s.fact, s.fact.filter("is_anomaly"), "trip_id")
-    return fresh.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("trip_month")).agg(_N.alias("rows_new"))
+    return fresh.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("trip_month")).agg(_rows().alias("rows_new"))
 
 
 @query(

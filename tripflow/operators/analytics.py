@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.numbers import exact_average
 
-_TRIPS = F.sum("_n").cast("long").alias("trip_count")
-
-
 def _by_keys(fact: DataFrame, keys: list[str], value: str) -> DataFrame:
     return fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.count(value).alias("_values"), F.sum(value).alias("_sum")
     )
 
 
+def _trips() -> Column:
+    return F.sum("_n").cast("long").alias("trip_count")
+
+
 def _total(name: str) -> Column:
     return F.round(F.sum("_sum"), 2).cast("double").alias(name)
 
@@ -37,7 +38,7 @@ def revenue_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return (
         sums.join(dim_date.select("date_key", "day_name"), "date_key")
         .groupBy("day_name")
-        .agg(_TRIPS, _total("total_revenue"), _mean("avg_total"))
+        .agg(_trips(), _total("total_revenue"), _mean("avg_total"))
         .orderBy(F.col("total_revenue").desc())
     )
 
@@ -50,7 +51,7 @@ def top_pickup_zones(fact: DataFrame, dim_location: DataFrame, k: int = 10) -> D
     return (
         sums.join(zones, "pickup_location_key")
         .groupBy("pickup_location_id")
-        .agg(_TRIPS, _total("total_revenue"))
+        .agg(_trips(), _total("total_revenue"))
         .orderBy(F.col("total_revenue").desc(), "pickup_location_id")
         .limit(k)
     )
@@ -62,7 +63,7 @@ def payment_mix_by_vendor(fact: DataFrame, dim_vendor: DataFrame, dim_payment: D
         sums.join(dim_vendor.select("vendor_key", "vendor_name"), "vendor_key")
         .join(dim_payment.select("payment_type_key", "payment_description"), "payment_type_key")
         .groupBy("vendor_name", "payment_description")
-        .agg(_TRIPS, _mean("avg_tip"))
+        .agg(_trips(), _mean("avg_tip"))
         .orderBy("vendor_name", F.col("trip_count").desc())
     )
 
@@ -73,7 +74,7 @@ def fare_by_rate_type(fact: DataFrame, dim_rate_code: DataFrame) -> DataFrame:
     return (
         sums.join(dim_rate_code.select("rate_code_key", "rate_description"), "rate_code_key")
         .groupBy("rate_description")
-        .agg(_TRIPS, _mean("avg_fare_amount"))
+        .agg(_trips(), _mean("avg_fare_amount"))
         .orderBy(F.col("trip_count").desc(), "rate_description")
     )
 

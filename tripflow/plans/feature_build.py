@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators import features, forecast, ledger, snapshots
-from tripflow.session import stage
+from tripflow.session import stage, staging_scope
 from tripflow.sources.warehouse import Warehouse
 
 
@@ -22,16 +22,17 @@ def build_and_snapshot(
     """Build once, prove that no feature sees the future, then write the snapshot. Returns its manifest."""
     now = now or dt.datetime.now()
     fact, zones = wh.read("fact_trip"), wh.read("dim_location")
-    table = stage(features.build_features(fact, zones, config), "features")
-    days = features.check_no_future_leakage(fact, zones, config, full=table)
     runs = [
         {"run_id": r["run_id"], "month": r["month"], "finished_at": str(r["finished_at"])}
         # One row per ingest run.
         for r in ledger.successful_runs(wh.read(ledger.TABLE)).orderBy("run_id").collect()
     ]
-    return snapshots.write_snapshot(
-        table, snapshot_root, version or f"v{now:%Y-%m-%d}", config, days, fact.count(), runs, now
-    )
+    with staging_scope(wh.spark):
+        table = stage(features.build_features(fact, zones, config), "features")
+        days = features.check_no_future_leakage(fact, zones, config, full=table)
+        return snapshots.write_snapshot(
+            table, snapshot_root, version or f"v{now:%Y-%m-%d}", config, days, fact.count(), runs, now
+        )
 
 
 def score_snapshot(

@@ -11,7 +11,7 @@ from tripflow import schemas
 from tripflow.functions.keys import add_trip_id
 from tripflow.operators import ledger, rules, star
 from tripflow.plans.refresh import refresh_mart
-from tripflow.session import stage
+from tripflow.session import stage, staging_scope
 from tripflow.sources import raw, warehouse
 from tripflow.sources.warehouse import Warehouse
 
@@ -119,7 +119,9 @@ def ingest_month(
     run_id = ledger.start_run(wh, month, now)
     try:
         batch = raw.read_month(spark, raw_dir, month, pattern)
-        summary = load_month(wh, batch, month, pattern.format(month=month), run_id, now or dt.datetime.now(), log_dir)
+        with staging_scope(spark):
+            source = pattern.format(month=month)
+            summary = load_month(wh, batch, month, source, run_id, now or dt.datetime.now(), log_dir)
     except Exception as exc:
         ledger.finish_run(wh, run_id, month, "failed", now, error=f"{type(exc).__name__}: {exc}")
         raise

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM does not compile methods above 8,000 bytecodes; a fused stage that long runs faster unfused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
@@ -56,6 +60,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends; a job keeps none of its intermediates."""
+    from tripflow.sources import files
+
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            files.remove(spark, path)
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -64,6 +86,8 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _scopes:
+        _scopes[-1].append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
