@@ -140,8 +140,9 @@ def insert_quarantine(wh: Warehouse, rows: DataFrame) -> int:
 
     Rejected rows may carry any pickup time or none, so no partition can be left out.
     """
-    before = wh.read("quarantine_trip").count()
-    wh.append("quarantine_trip", absent_rows_staged(rows, wh.read("quarantine_trip"), "trip_id"))
+    before = wh.read("quarantine_trip").count() if wh.exists("quarantine_trip") else 0
+    fresh = absent_rows_staged(rows, wh.read("quarantine_trip"), "trip_id") if before else rows
+    wh.append("quarantine_trip", fresh)
     return wh.read("quarantine_trip").count() - before
 
 
@@ -229,7 +230,7 @@ def insert_fact(wh: Warehouse, batch: DataFrame, base: int | None = None, check:
     def stored() -> DataFrame:
         return wh.read("fact_trip").filter(F.col("trip_month").isin(months))
 
-    before = stored().count()
+    before = stored().count() if wh.exists("fact_trip") else 0
     fresh = absent_rows_staged(batch, stored(), "trip_id") if before else batch
     if len(months) > 1:
         # A batch of many months: one task per month's share instead of every task writing every month.
