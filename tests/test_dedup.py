@@ -50,6 +50,14 @@ def test_hot_keys_do_not_route_to_one_place(keyed, monkeypatch):
     assert [r[DUPLICATE] for r in rows] == repeats(keys)
 
 
+def test_colliding_digests_are_told_apart(keyed):
+    frame, keys = keyed
+    rows = flag_repeats(frame, digest=F.length("trip_id")).orderBy("_position").collect()
+    assert [r[DUPLICATE] for r in rows] == repeats(keys)
+    unique = frame.filter("trip_id like 'u%'")
+    assert flag_repeats(unique, digest=F.lit(1)).filter(DUPLICATE).count() == 0
+
+
 def test_no_repeats_needs_no_join(spark):
     frame = spark.range(50).select(F.col("id").cast("string").alias("trip_id"), F.col("id").alias("_position"))
     flagged = flag_repeats(frame)

@@ -75,6 +75,10 @@ def test_duplicates_keep_the_first(spark):
     assert reasons(spark, [*rows, rows[0], rows[0]]) == ["", "", "duplicate_in_batch", "duplicate_in_batch"]
 
 
+def test_zero_and_negative_zero_are_one_key(spark):
+    assert reasons(spark, [trip(trip_distance=0.0), trip(trip_distance=-0.0)]) == ["", "duplicate_in_batch"]
+
+
 def test_a_duplicate_counts_even_when_the_first_copy_was_rejected(spark):
     # The payment type is not part of the key.
     assert reasons(spark, [trip(payment_type=9), trip(payment_type=1)]) == ["unknown_payment_type", "duplicate_in_batch"]

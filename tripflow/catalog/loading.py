@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripflow import schemas
 from tripflow.catalog.oracle import MART_COLUMNS, MONTH_RULE, judged, with_trips
 from tripflow.catalog.registry import Sample, query
-from tripflow.operators import freshness, ledger, reconcile, rules, star
+from tripflow.operators import freshness, ledger, reconcile, rules
 from tripflow.plans.ingest import ingest_month
 from tripflow.plans.refresh import refresh_mart
 from tripflow.sources import warehouse
@@ -294,5 +294,3 @@ def freshness_states(s: Sample) -> DataFrame:
     both = fresh.withColumn("state", F.lit("after success")).unionByName(failed.withColumn("state", F.lit("after failure")))
     return both.select("state", "level", "message", "data_as_of")
 
-
-__all__ = ["star"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.catalog.oracle import MART_COLUMNS, METRICS, with_trips
@@ -14,7 +14,6 @@ from tripflow.functions.numbers import ratio
 from tripflow.operators import mart as m
 from tripflow.operators import reconcile
 from tripflow.plans.dashboard import dashboard_views
-from tripflow.sources.sample import SAMPLE_NOW
 from tripflow.sources.warehouse import Warehouse
 
 # The dates the dashboard's picker is set to.
@@ -146,8 +145,6 @@ def top_zones(s: Sample) -> DataFrame:
 )
 def presentation_order(s: Sample) -> DataFrame:
     """The place of a zone among the rows of its day when the mart is shown: the NULL zone comes last."""
-    from pyspark.sql import Window
-
     by_day = Window.partitionBy("pickup_date").orderBy(F.col("pickup_location_id").asc_nulls_last())
     placed = s.build_mart(s.unjudged_fact).withColumn("place", F.row_number().over(by_day).cast("long"))
     return m.load_mart(placed.select("place", "pickup_date", "pickup_location_id", "trip_count"))
@@ -209,5 +206,3 @@ def dashboard_zone_days(s: Sample) -> DataFrame:
     """The drill-down: daily figures of one zone."""
     return _views(s, zone=132).daily
 
-
-__all__ = ["SAMPLE_NOW"]

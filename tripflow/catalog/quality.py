@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow import schemas
-from tripflow.catalog import oracle
 from tripflow.catalog.oracle import HARD, MONTH_RULE, SOFT, hard, judged, with_trips
 from tripflow.catalog.registry import Sample, query
 from tripflow.functions.calendar import month_text
@@ -337,5 +336,3 @@ def drop_duplicates(s: Sample) -> DataFrame:
 def quarantine_rows(s: Sample) -> DataFrame:
     return rules.quarantine_rows(rules.rejected(s.judged), "sample.parquet", SAMPLE_MONTH, SAMPLE_NOW)
 
-
-__all__ = ["oracle"]

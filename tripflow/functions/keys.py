@@ -40,6 +40,11 @@ def canonical_text(name: str, dtype: T.DataType) -> Column:
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 
+def key_digest() -> Column:
+    """Eight-byte hash of the key fields. Equal keys have equal digests; the reverse need not hold."""
+    return F.xxhash64(*KEY_FIELDS)
+
+
 def add_trip_id(df: DataFrame) -> DataFrame:
     """SHA-256 over the nine key fields. NULLs take part in the key and never nullify it."""
     parts = [canonical_text(name, df.schema[name].dataType) for name in KEY_FIELDS]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.session import stage
@@ -26,20 +26,44 @@ def repeated_keys(df: DataFrame, key: str, position: str = POSITION) -> DataFram
     )
 
 
+def suspect_rows(df: DataFrame, digest: Column, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame | None:
+    """Rows whose digest occurs more than once; None when there are none.
+
+    A digest is eight bytes, so this first look shuffles a fraction of what full keys would, and in
+    a delivery without repeats it is the only one. Many suspects are not worth a join: then all rows
+    are.
+    """
+    digests = df.groupBy(digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    suspects = stage(digests.select("_digest"), "suspect-digests")
+    found = suspects.count()
+    if found == 0:
+        return None
+    if found > broadcast_keys:
+        return df
+    return df.withColumn("_digest", digest).join(F.broadcast(suspects), "_digest", "left_semi").drop("_digest")
+
+
 def flag_repeats(
-    df: DataFrame, key: str = "trip_id", position: str = POSITION, broadcast_keys: int = BROADCAST_KEYS
+    df: DataFrame,
+    key: str = "trip_id",
+    position: str = POSITION,
+    digest: Column | None = None,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Add ``_is_duplicate``: true for every occurrence of a key but the first in file order.
 
     The wide rows are not ranked in a window, where one hot key would be one task's work. The
-    repeated keys are found first and counted; then
+    repeated keys are found first, among the rows whose ``digest`` repeats, and counted; then
 
     * none: nothing to join;
     * up to ``broadcast_keys``: they are broadcast, and the wide rows are not shuffled at all;
     * more: the hot ones (at most ``HOT_SHARE`` by definition) are broadcast, and rows that matched
       one get a routing key of their own, so the shuffle join that serves the rest has no hot key.
     """
-    repeats = stage(repeated_keys(df, key, position), "repeated-keys")
+    suspects = suspect_rows(df, F.xxhash64(key) if digest is None else digest, broadcast_keys)
+    if suspects is None:
+        return df.withColumn(DUPLICATE, F.lit(False))
+    repeats = stage(repeated_keys(suspects, key, position), "repeated-keys")
     size = repeats.agg(F.count(F.lit(1)).alias("keys"), F.sum("_copies").alias("rows")).first()
     if size["keys"] == 0:
         return df.withColumn(DUPLICATE, F.lit(False))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.functions.calendar import hour_of, iso_day_of_week, month_text, ntz
+from tripflow.functions.calendar import hour_of, iso_day_of_week, ntz
 
 KEY_COLUMNS = ["zone_id", "hour_start", "forecast_date", "prediction_made_at"]
 FEATURE_COLUMNS = [
@@ -109,6 +109,16 @@ def zone_hours(dim_location: DataFrame, start: dt.date, end: dt.date) -> DataFra
     return dim_location.select(F.col("location_id").alias("zone_id"), F.explode(hours).alias("hour_start"))
 
 
+def picked_up_between(fact: DataFrame, first: dt.datetime, after: dt.datetime) -> DataFrame:
+    """Trips of a time range: a filter the scan can use, and only its months of a partitioned fact."""
+    pickup = F.col("pickup_datetime")
+    trips = fact.filter((pickup >= ntz(first)) & (pickup < ntz(after)))
+    if "trip_month" in fact.columns:
+        last = after - dt.timedelta(microseconds=1)
+        trips = trips.filter(F.col("trip_month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
+    return trips
+
+
 def demand_grid(
     fact: DataFrame, dim_location: DataFrame, start: dt.date, end: dt.date, cutoff: dt.datetime | None = None
 ) -> DataFrame:
@@ -119,8 +129,7 @@ def demand_grid(
     grid, whatever its traffic.
     """
     first, after = _midnight(start), _midnight(end) + dt.timedelta(days=1)
-    hour = F.col("hour_start")
-    counted = hourly_demand(fact, dim_location, cutoff).filter((hour >= ntz(first)) & (hour < ntz(after)))
+    counted = hourly_demand(picked_up_between(fact, first, after), dim_location, cutoff)
     zeros = zone_hours(dim_location, start, end).withColumn("trips", F.lit(0).cast("long"))
     return (
         zeros.unionByName(counted)
@@ -258,14 +267,11 @@ Builder = Callable[..., DataFrame]
 def _truncated(fact: DataFrame, dim_location: DataFrame, config: FeatureConfig, day: dt.date, build: Builder) -> DataFrame:
     """Features of ``day`` from trips before its midnight.
 
-    Features reach back 14 days, so only those days are read (and only their months, when the fact
-    is partitioned by month). A feature reaching further would differ and be reported, not missed.
+    Features reach back 14 days, so the grid, and with it the scan, starts there. A feature reaching
+    further would differ and be reported, not missed.
     """
     start = max(config.grid_start, day - dt.timedelta(days=LOOKBACK_DAYS))
-    recent = fact.filter(F.col("pickup_datetime") >= ntz(_midnight(start)))
-    if "trip_month" in fact.columns:
-        recent = recent.filter(F.col("trip_month").between(f"{start:%Y-%m}", f"{day:%Y-%m}"))
-    built = build(recent, dim_location, config, cutoff=_midnight(day), grid_start=start, grid_end=day)
+    built = build(fact, dim_location, config, cutoff=_midnight(day), grid_start=start, grid_end=day)
     return built.filter(F.col("forecast_date") == F.lit(day))
 
 
@@ -327,11 +333,6 @@ def check_no_future_leakage(
     return list(config.leakage_check_days)
 
 
-def month_of_pickup(fact: DataFrame) -> DataFrame:
-    """Give a fact without a partition column the month its rows would be stored under."""
-    return fact.withColumn("trip_month", month_text(F.col("pickup_datetime")))
-
-
 def split_overview(features: DataFrame) -> DataFrame:
     """Rows, zones, first day and zero targets per split."""
     return features.groupBy(SPLIT_COLUMN).agg(

@@ -33,6 +33,7 @@ def freshness_of(mart: DataFrame, events: DataFrame, now: dt.datetime) -> DataFr
     failed = F.col("status") == "failed"
     running = F.col("status") == "running"
     stuck = running & (ntz(now) - F.col("started_at") > F.expr(STUCK_AFTER))
+    # The wording of the verdicts.
     message = (
         F.when(
             no_run,

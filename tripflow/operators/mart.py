@@ -27,16 +27,17 @@ def build_mart(
 ) -> DataFrame:
     """Additive measures per pickup date and zone.
 
-    Trips are counted and summed by their keys first, with only the 7-row payment list joined
-    before; dates and zones are then looked up for one row per date and zone instead of per trip.
+    Trips are counted and summed by their keys first, with only the card payment's key joined before;
+    dates and zones are then looked up for one row per date and zone instead of per trip.
     Keys without a zone row share the NULL zone, so the looked-up rows are summed once more.
     """
-    card_keys = dim_payment.select("payment_type_key", (F.col("payment_type_id") == CARD).alias("_card"))
+    # Payment ids are unique, so this side is a single row.
+    card_key = dim_payment.filter(F.col("payment_type_id") == CARD).select("payment_type_key", F.lit(True).alias("_card"))
     paid = F.col("fare_amount") > 0
     on_card = paid & F.coalesce(F.col("_card"), F.lit(False))
     in_range = (F.col("trip_distance") > 0) & (F.col("trip_distance") <= LONGEST_AVERAGED_DISTANCE)
     by_key = (
-        fact.join(F.broadcast(card_keys), "payment_type_key", "left")
+        fact.join(F.broadcast(card_key), "payment_type_key", "left")
         .groupBy("date_key", "pickup_location_key")
         .agg(
             F.count(F.lit(1)).alias("trip_count"),

@@ -24,7 +24,7 @@ def null_rates(df: DataFrame, columns: list[str] | None = None, threshold: float
 
 
 def violation_checks() -> dict[str, Column]:
-    """The five exploration checks. Here a dropoff equal to the pickup is no violation."""
+    """The five exploration checks under their fixed names. Here a dropoff equal to the pickup is no violation."""
     return {
         "Passenger Count <= 0": F.col("passenger_count") <= 0,
         "Trip Distance <= 0": F.col("trip_distance") <= 0,

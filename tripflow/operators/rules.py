@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tripflow import schemas
 from tripflow.functions.calendar import month_bounds, ntz
-from tripflow.operators.dedup import DUPLICATE, flag_repeats
+from tripflow.functions.keys import key_digest
+from tripflow.operators.dedup import DUPLICATE, first_per_key, flag_repeats
 from tripflow.sources.raw import POSITION
 
 # The default code sets, the zone id range, and the limits of the rules.
@@ -98,7 +99,8 @@ def _out_of_range(column: str) -> Column:
     return F.coalesce(~F.col(column).between(*LOCATION_RANGE), F.lit(False))
 
 
-# Order matters: reason codes are listed in it.
+# The codes and quality dimensions, here and below. Order matters: a row lists its
+# codes in it.
 HARD_RULES = [
     Rule("missing_pickup_datetime", "completeness", lambda ctx: _pickup().isNull()),
     Rule("missing_dropoff_datetime", "completeness", lambda ctx: _dropoff().isNull()),
@@ -149,7 +151,7 @@ def judge(keyed: DataFrame, ctx: CheckContext, position: str = POSITION) -> Data
     Repeats are flagged over all rows, including those another rule rejects. All other rules are
     one projection over the scan.
     """
-    flagged = flag_repeats(keyed, "trip_id", position)
+    flagged = flag_repeats(keyed, "trip_id", position, key_digest())
     return flagged.withColumn("reason_codes", reject_reasons(ctx)).withColumn("is_anomaly", anomaly_mask(ctx))
 
 
@@ -196,8 +198,6 @@ def rejected_log(judged: DataFrame) -> DataFrame:
 
 def quarantine_rows(rejected_rows: DataFrame, source_file: str, month: str, at: dt.datetime) -> DataFrame:
     """Raw columns, key, reasons and provenance; of several copies of a trip_id the first is kept."""
-    from tripflow.operators.dedup import first_per_key
-
     kept = first_per_key(rejected_rows.select(*schemas.RAW_COLUMNS, "trip_id", "reason_codes", POSITION), "trip_id")
     return kept.select(
         *schemas.RAW_COLUMNS,

@@ -13,6 +13,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
 
 
+# Column names and types of the raw files and of every table below.
 RAW = _struct(
     ("VendorID", T.LongType()),
     ("tpep_pickup_datetime", T.TimestampNTZType()),

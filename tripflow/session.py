@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Writing a staged batch in two halves needs no sort when both files may be open at once.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # The JVM does not compile methods above 8,000 bytecodes; a fused stage that long runs faster unfused.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",

@@ -85,7 +85,15 @@ def export_csv(df: DataFrame, path: str) -> None:
 def random_sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
     """Exactly ``rows`` random rows (all of them when there are fewer).
 
-    A random key and a top-k: each task keeps its own smallest ``rows`` keys, so nothing is sorted
-    as a whole.
+    Every row draws a number and the lowest are taken. Rows above a bound that some ``rows`` draws
+    almost surely stay under are dropped where they are read, so the final top-k sees little more
+    than it returns; should too few be under it, the top-k runs over all draws.
     """
-    return df.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(rows).drop("_draw")
+    drawn = df.withColumn("_draw", F.rand(seed))
+    total = df.count()
+    wanted = rows + 6 * rows**0.5 + 10
+    if wanted < total:
+        low = drawn.filter(F.col("_draw") < wanted / total)
+        if low.count() >= rows:
+            drawn = low
+    return drawn.orderBy("_draw").limit(rows).drop("_draw")

@@ -31,7 +31,8 @@ MART_TABLE = "mart_daily_zone_trips"
 # A key set up to this many rows (well under 100 MB of hex keys) may be broadcast.
 BROADCAST_KEYS = 500_000
 # trip_key: bits for the load, then for the task, then for the row in the task.
-_LOAD_BITS, _TASK_BITS = 46, 30
+# That is room for 8,192 loads of 4 million tasks with 268 million rows each.
+_LOAD_BITS, _TASK_BITS = 50, 28
 _MONOTONIC_BITS = 33
 
 
@@ -130,9 +131,7 @@ def absent_rows_staged(rows: DataFrame, existing: DataFrame, key: str) -> DataFr
 
 def insert_dimension(wh: Warehouse, table: str, rows: DataFrame, key: str) -> None:
     """First write wins: rows with a known key are ignored, never updated."""
-    fresh = absent_rows(rows, wh.read(table), key)
-    # Both dimensions hold one row per day or zone; one file each keeps later reads cheap.
-    wh.append(table, fresh.coalesce(1))
+    wh.append(table, absent_rows(rows, wh.read(table), key))
 
 
 def insert_quarantine(wh: Warehouse, rows: DataFrame) -> int:
@@ -202,7 +201,10 @@ def surrogate_key(base: int):
 
 def load_base(run_id: int) -> int:
     """First trip_key of a run; runs never overlap."""
-    return run_id << _LOAD_BITS
+    base = run_id << _LOAD_BITS
+    if base >= 1 << 63:
+        raise OverflowError(f"run {run_id} is beyond the range of trip_key")
+    return base
 
 
 def next_base(wh: Warehouse) -> int:
