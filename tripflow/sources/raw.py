@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +25,22 @@ def with_position(scan: DataFrame) -> DataFrame:
     One long (rather than a file name and a row number) keeps ``min`` over it in hash aggregation.
     The file numbers come from the scan's own file listing, which the driver already holds.
     """
-    names = sorted(scan.inputFiles())
+    paths = sorted(scan.inputFiles())
     row = F.col("_metadata.row_index")
-    if len(names) <= 1:
+    if len(paths) <= 1:
         return scan.select("*", row.alias(POSITION))
-    listing = scan.sparkSession.createDataFrame(
-        [(name.rsplit("/", 1)[-1], number) for number, name in enumerate(names)], "_file string, _file_number long"
-    )
-    if len({name.rsplit("/", 1)[-1] for name in names}) < len(names):
-        raise ValueError("files of one delivery must have distinct names")
-    named = scan.select("*", F.url_decode(F.col("_metadata.file_name")).alias("_file"), row.alias("_row"))
+    numbers: dict[str, int] = {}
+    for number, path in enumerate(paths):
+        # The listing escapes names, the scan need not: both spellings lead to the number.
+        name = path.rsplit("/", 1)[-1]
+        for spelling in {name, unquote(name)}:
+            if numbers.setdefault(spelling, number) != number:
+                raise ValueError(f"two files of one delivery are named {name}")
+    listing = scan.sparkSession.createDataFrame(list(numbers.items()), "_file string, _file_number long").coalesce(1)
+    # As many rows as the driver's own file listing.
     return (
-        named.join(listing.withColumn("_file", F.url_decode("_file")), "_file")
+        scan.select("*", F.col("_metadata.file_name").alias("_file"), row.alias("_row"))
+        .join(F.broadcast(listing), "_file")
         .withColumn(POSITION, F.shiftleft("_file_number", _ROW_BITS) + F.col("_row"))
         .drop("_file", "_file_number", "_row")
     )
