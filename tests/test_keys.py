@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.functions.calendar import hour_of, minute_text
 from tripflow.functions.keys import KEY_FIELDS, add_trip_id, canonical_text
 from tripflow.functions.numbers import half_even_int, ratio
 
@@ -85,3 +86,17 @@ def test_passengers_round_half_to_even(spark, value, expected):
 def test_ratio_of_nothing_is_null(spark):
     row = spark.createDataFrame([(1, 0), (1, 4)], "a int, b int").select(ratio(F.col("a"), F.col("b")).alias("r")).collect()
     assert [r.r for r in row] == [None, 0.25]
+
+
+def test_hours_ignore_the_clock_changes_of_the_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 does not exist in that zone on this day, and 01:30 exists twice in November.
+        times = [dt.datetime(2026, 3, 8, 2, 30), dt.datetime(2026, 11, 1, 1, 30, 5)]
+        frame = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+        rows = frame.select(hour_of(F.col("t")).alias("h"), minute_text(F.col("t")).alias("m")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.h for r in rows] == [dt.datetime(2026, 3, 8, 2), dt.datetime(2026, 11, 1, 1)]
+    assert [r.m for r in rows] == ["2026-03-08 02:30", "2026-11-01 01:30"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripflow.catalog.oracle import with_trips
 from tripflow.catalog.registry import Sample, query
+from tripflow.functions.calendar import month_text
 from tripflow.operators import analytics, reconcile
 from tripflow.sources import warehouse
 
@@ -149,7 +150,7 @@ def orphan_keys(s: Sample) -> DataFrame:
 def insert_if_absent(s: Sample) -> DataFrame:
     """New rows per month when the table already holds the flagged trips."""
     fresh = warehouse.absent_rows_staged(s.fact, s.fact.filter("is_anomaly"), "trip_id")
-    return fresh.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("trip_month")).agg(_rows().alias("rows_new"))
+    return fresh.groupBy(month_text(F.col("pickup_datetime")).alias("trip_month")).agg(_rows().alias("rows_new"))
 
 
 @query(

@@ -31,8 +31,13 @@ def iso_day_of_week(day: Column) -> Column:
 
 
 def hour_of(ts: Column) -> Column:
-    """Start of the hour; ``date_trunc`` returns a zoned timestamp, so it is cast back."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Start of the hour. ``date_trunc`` would go through the session's time zone and its clock changes."""
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+
+
+def minute_text(ts: Column) -> Column:
+    """'YYYY-MM-DD HH:MM' of a zone-less timestamp, again without a time zone."""
+    return F.substring(ts.cast("string"), 1, 16)
 
 
 def month_bounds(month: str) -> tuple[dt.datetime, dt.datetime]:

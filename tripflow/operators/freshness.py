@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.calendar import ntz
+from tripflow.functions.calendar import minute_text, ntz
 from tripflow.operators.ledger import TABLE as LEDGER_TABLE
 from tripflow.operators.ledger import latest_run
 from tripflow.sources.warehouse import MART_TABLE, Warehouse
@@ -17,7 +17,7 @@ STUCK_AFTER = "INTERVAL 2 HOURS"
 
 
 def _minute(ts: Column) -> Column:
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm"), F.lit("unknown"))
+    return F.coalesce(minute_text(ts), F.lit("unknown"))
 
 
 def freshness_of(mart: DataFrame, events: DataFrame, now: dt.datetime) -> DataFrame:
