@@ -108,15 +108,15 @@ def main() -> None:
 
     fresh = Warehouse(spark, f"{work}/fresh")
     fresh.ensure_seeds()
-    timed("quarantine_write", lambda: warehouse.insert_quarantine(fresh, quarantine))
+    timed("quarantine_write", lambda: warehouse.insert_quarantine(fresh, quarantine, unique=True))
 
     def dims() -> None:
         warehouse.insert_dimension(fresh, "dim_date", star.date_rows(good), "date_key")
         warehouse.insert_dimension(fresh, "dim_location", star.location_rows(good), "location_key")
 
     timed("dims_upsert", dims)
-    timed("fact_insert", lambda: warehouse.insert_fact(fresh, fact_batch))
-    timed("fact_insert_replay", lambda: warehouse.insert_fact(fresh, fact_batch))
+    timed("fact_insert", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True))
+    timed("fact_insert_replay", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True))
     timed("mart_refresh", lambda: refresh_mart(fresh, now), 3)
 
     fact, days, zones = wh.read("fact_trip"), wh.read("dim_date"), wh.read("dim_location")

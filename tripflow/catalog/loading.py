@@ -51,7 +51,7 @@ def quarantine_insert(s: Sample) -> DataFrame:
     wh = Warehouse(s.spark, s.scratch("warehouse"))
     rows = rules.quarantine_rows(rules.rejected(s.judged), "sample.parquet", SAMPLE_MONTH, SAMPLE_NOW)
     warehouse.insert_quarantine(wh, rows)
-    again = warehouse.insert_quarantine(wh, rows)
+    again = warehouse.insert_quarantine(wh, rows, unique=True)
     return wh.read("quarantine_trip").select(
         "trip_id", "reason_codes", "source_file", "ingest_month", "total_amount", F.lit(again).cast("long").alias("added_again")
     )
@@ -62,7 +62,7 @@ def _filled(s: Sample) -> Warehouse:
     wh = s.new_warehouse()
     warehouse.insert_dimension(wh, "dim_date", s.dim_date, "date_key")
     warehouse.insert_dimension(wh, "dim_location", s.dim_location, "location_key")
-    warehouse.insert_fact(wh, s.fact)
+    warehouse.insert_fact(wh, s.fact, unique=True)
     return wh
 
 

@@ -82,7 +82,7 @@ def load_month(
         log = rules.rejected_log(judged)
         log.write.mode("overwrite").option("header", True).csv(f"{log_dir}/rejected_{month}")
     summary["rows_quarantined"] = (
-        warehouse.insert_quarantine(wh, rules.quarantine_rows(bad, source_file, month, now))
+        warehouse.insert_quarantine(wh, rules.quarantine_rows(bad, source_file, month, now), unique=True)
         if summary["rows_rejected"]
         else 0
     )
@@ -91,7 +91,7 @@ def load_month(
     warehouse.insert_dimension(wh, "dim_location", star.location_rows(good), "location_key")
 
     facts = star.fact_rows(good, vendor, payment, rate_code)
-    summary["rows_inserted"] = warehouse.insert_fact(wh, facts, warehouse.load_base(run_id))
+    summary["rows_inserted"] = warehouse.insert_fact(wh, facts, warehouse.load_base(run_id), unique=True)
     summary["rows_skipped"] = summary["rows_valid"] - summary["rows_inserted"]
     summary["fact_trip_count"] = wh.read("fact_trip").count()
     summary["quarantine_trip_count"] = wh.read("quarantine_trip").count()

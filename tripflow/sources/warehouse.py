@@ -129,16 +129,28 @@ def absent_rows_staged(rows: DataFrame, existing: DataFrame, key: str) -> DataFr
     return rows.join(shared, key, "left_anti")
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """The first row of every key. Costs a count of eight-byte digests when no key repeats."""
+    from tripflow.operators.dedup import first_per_key, suspect_rows
+    from tripflow.sources.raw import POSITION
+
+    if suspect_rows(rows, F.xxhash64(key)) is None:
+        return rows
+    return first_per_key(rows.withColumn(POSITION, F.monotonically_increasing_id()), key).drop(POSITION)
+
+
 def insert_dimension(wh: Warehouse, table: str, rows: DataFrame, key: str) -> None:
     """First write wins: rows with a known key are ignored, never updated."""
-    wh.append(table, absent_rows(rows, wh.read(table), key))
+    wh.append(table, absent_rows(rows.dropDuplicates([key]), wh.read(table), key))
 
 
-def insert_quarantine(wh: Warehouse, rows: DataFrame) -> int:
+def insert_quarantine(wh: Warehouse, rows: DataFrame, unique: bool = False) -> int:
     """Insert-if-absent on trip_id against the whole table; returns the rows added.
 
-    Rejected rows may carry any pickup time or none, so no partition can be left out.
+    Rejected rows may carry any pickup time or none, so no partition can be left out. ``unique``
+    says that no trip_id repeats within the rows.
     """
+    rows = rows if unique else one_per_key(rows, "trip_id")
     before = wh.read("quarantine_trip").count() if wh.exists("quarantine_trip") else 0
     fresh = absent_rows_staged(rows, wh.read("quarantine_trip"), "trip_id") if before else rows
     wh.append("quarantine_trip", fresh)
@@ -213,16 +225,20 @@ def next_base(wh: Warehouse) -> int:
     return 1 if top is None else top + 1
 
 
-def insert_fact(wh: Warehouse, batch: DataFrame, base: int | None = None, check: bool = True) -> int:
+def insert_fact(
+    wh: Warehouse, batch: DataFrame, base: int | None = None, check: bool = True, unique: bool = False
+) -> int:
     """Insert-if-absent on trip_id; returns the rows added.
 
     trip_id covers the pickup time, so an equal trip_id lies in the same month: only the months of
-    the batch are read. The first version of a trip wins; a re-delivered one is skipped.
+    the batch are read. The first version of a trip wins; a re-delivered one is skipped. ``unique``
+    says that no trip_id repeats within the batch, as after the rules.
     """
     from tripflow.functions.calendar import month_text
 
     if check:
         check_fact_keys(batch, {t: wh.read(t) for t in TABLES if t.startswith("dim_")})
+    batch = batch if unique else one_per_key(batch, "trip_id")
     batch = batch.withColumn("trip_month", month_text(F.col("pickup_datetime")))
     # One value per calendar month of the batch.
     months = [r[0] for r in batch.select("trip_month").distinct().collect()]
