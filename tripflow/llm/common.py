@@ -47,7 +47,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, allowed:
     return texts.join(drawn, "doc_id").dropDuplicates(["doc_id", "text"])
 
 
-def by_batch(rows: DataFrame, work: Callable[..., dict], schema: str, *shared) -> DataFrame:
+def by_batch(rows: DataFrame, work: Callable[..., dict], schema: str, *shared, size: int = 1 << 23) -> DataFrame:
     """``work(columns as lists, *shared)`` for every Arrow batch; it returns columns of ``schema``.
 
     ``shared`` are broadcast variables whose values ``work`` gets. Nothing is kept between batches
@@ -63,14 +63,14 @@ def by_batch(rows: DataFrame, work: Callable[..., dict], schema: str, *shared) -
         arrow = to_arrow_schema(target)
         values = [s.value for s in shared]
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size):
                 made = work({n: part.column(n).to_pylist() for n in part.schema.names}, *values)
                 yield pa.RecordBatch.from_arrays([pa.array(made[n], arrow.field(n).type) for n in names], schema=arrow)
 
     return rows.mapInArrow(run, target)
 
 
-def slices(batch: pa.RecordBatch, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in parts of about ``size`` bytes, so that a worker never holds many texts as objects."""
     step = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
     for at in range(0, batch.num_rows, step):
@@ -78,14 +78,18 @@ def slices(batch: pa.RecordBatch, size: int = 1 << 23) -> Iterator[pa.RecordBatc
 
 
 class Cache(dict):
-    """A bounded memo: ``cache[key]`` computes and keeps; it is emptied when it holds ``limit`` entries."""
+    """A bounded memo of two generations: when the young one is half of ``limit``, the old one goes."""
 
     def __init__(self, compute: Callable, limit: int = 300_000):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.half, self.old = compute, limit // 2, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value

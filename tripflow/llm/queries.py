@@ -4,20 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import simhash
+from tripflow.llm import bpe, quality, simhash, toxicity
 from tripflow.llm.common import table
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op3_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_byte_bpe,
+        op3_toxicity_ftrl,
         op4_simhash_near_dedup,
+        op6_quality_fm,
     )
 }
 
