@@ -33,6 +33,8 @@ SHARED = POSITIONS - MAX_DISTANCE
 SEED = 42
 #: Postings beyond this many fingerprints are linked through hubs, where work is linear in the posting.
 PAIRED = 512
+#: Up to so many crowded postings (16 bytes each) are broadcast; more are joined by a shuffle.
+SENT = 250_000
 CHUNK = 1 << 16
 
 #: The byte masks of all sets of four positions, in the order in which a pair looks for its first.
@@ -111,7 +113,10 @@ def links(marks: DataFrame) -> DataFrame:
     sizes = stage(sizes, "postings")
     two = sizes.where("n = 2").where(_verified("a", "b")).select("a", "b")
 
-    crowded = index.join(sizes.where("n > 2").select("posting", "n"), "posting")
+    busy = sizes.where("n > 2").select("posting", "n")
+    if busy.count() <= SENT:
+        busy = F.broadcast(busy)
+    crowded = index.join(busy, "posting")
     crowded = stage(crowded, "crowded")
     some = crowded.where(F.col("n") <= PAIRED)
     left = some.select("posting", "mask", F.col("mark").alias("a"))
