@@ -44,7 +44,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int, allowed:
     )
     drawn = marks.withColumn("draw", F.xxhash64("doc_id")).orderBy("draw", "doc_id").limit(rows)
     texts = text_rows(docs).where(F.col("doc_id").isNotNull() & allowed)
-    return texts.join(drawn, "doc_id").dropDuplicates(["doc_id", "text"])
+    return texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id", "text"])  # drawn has at most `rows` rows
 
 
 def by_batch(rows: DataFrame, work: Callable[..., dict], schema: str, *shared, size: int = 1 << 23) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, quality, simhash, toxicity
+from tripflow.llm import bpe, quality, secrets, simhash, toxicity
 from tripflow.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_secrets_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity_ftrl,
         op4_simhash_near_dedup,
         op6_quality_fm,
+        op9_secrets_crf,
     )
 }
 

@@ -23,10 +23,10 @@ from tripflow.llm.common import Cache, by_batch, fold, labelled, text_rows
 from tripflow.session import stage
 
 SHARDS = 8
-EPOCHS = 3
+EPOCHS = 8
 #: The fit's bound on labelled rows.
 FIT_ROWS = 20_000
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1.0, 0.1
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 2.0, 0.1
 THRESHOLD = 0.7
 BIAS = 0
 GAPS = (1, 2, 3)
