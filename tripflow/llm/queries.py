@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, quality, secrets, simhash, toxicity
+from tripflow.llm import bpe, mixing, quality, secrets, simhash, toxicity
 from tripflow.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op9_secrets_crf(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
 
+def op10_mixing_sainte_lague(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_simhash_near_dedup,
         op6_quality_fm,
         op9_secrets_crf,
+        op10_mixing_sainte_lague,
     )
 }
 
