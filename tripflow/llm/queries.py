@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, mixing, quality, secrets, simhash, toxicity
+from tripflow.llm import bpe, licenses, mixing, quality, secrets, simhash, toxicity
 from tripflow.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op9_secrets_crf(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity_ftrl,
         op4_simhash_near_dedup,
         op6_quality_fm,
+        op7_license_scan,
         op9_secrets_crf,
         op10_mixing_sainte_lague,
     )
