@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, licenses, mixing, quality, secrets, simhash, toxicity
+from tripflow.llm import bpe, licenses, mixing, order_minhash, quality, secrets, simhash, toxicity
 from tripflow.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op8_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, folder, "documents"))
+
+
 def op9_secrets_crf(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secrets(table(spark, folder, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_simhash_near_dedup,
         op6_quality_fm,
         op7_license_scan,
+        op8_order_minhash,
         op9_secrets_crf,
         op10_mixing_sainte_lague,
     )
