@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, licenses, mixing, order_minhash, quality, secrets, simhash, toxicity
+from tripflow.llm import bpe, licenses, mixing, order_minhash, quality, secrets, simhash, topk, toxicity
 from tripflow.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"))
+
+
 def op6_quality_fm(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_byte_bpe,
         op3_toxicity_ftrl,
         op4_simhash_near_dedup,
+        op5_topk_search,
         op6_quality_fm,
         op7_license_scan,
         op8_order_minhash,
@@ -57,4 +62,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_topk_search": """
+        WITH sound AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, v.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.parts, v.parts), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM sound q JOIN sound v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.parts) = len(v.parts)
+        ),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
