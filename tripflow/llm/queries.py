@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, licenses, mixing, order_minhash, quality, secrets, simhash, topk, toxicity
+from tripflow.llm import bpe, brown, licenses, mixing, order_minhash, quality, secrets, simhash, topk, toxicity
 from tripflow.llm.common import table
 
 
+def op1_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return brown.score(table(spark, folder, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -50,6 +54,7 @@ def op10_mixing_sainte_lague(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_brown_lm,
         op2_byte_bpe,
         op3_toxicity_ftrl,
         op4_simhash_near_dedup,
