@@ -23,6 +23,7 @@ from itertools import pairwise
 import numpy as np
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripflow.llm.common import Cache, by_batch, text_rows
 
@@ -243,8 +244,7 @@ def encoder(ranks: bytes, kinds: np.ndarray) -> Encoder:
 def _encode_rows(rows: dict, ranks: bytes, kinds: np.ndarray) -> dict:
     done = encoder(ranks, kinds).encode(rows["text"])
     counts = [np.array([len(p) // 4 for p in parts], np.int64) for _, _, parts in done]
-    return {
-        "doc_id": rows["doc_id"],
+    return {name: rows[name] for name in rows if name != "text"} | {
         "ids": [np.frombuffer(ids, "<u4").astype(np.int32) for ids, _, _ in done],
         "slice_bytes": [marks.astype(np.int32) for _, marks, _ in done],
         "slice_ids": [np.concatenate([[0], np.cumsum(c)]).astype(np.int32) for c in counts],
@@ -273,10 +273,16 @@ def _shared(rows: DataFrame, path: str) -> tuple:
     return context.broadcast(read_ranks(path)), context.broadcast(class_array())
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids, and the offsets of the slices: byte begin and first id of each, each with a last entry for the end."""
-    schema = "doc_id long, ids array<int>, slice_bytes array<int>, slice_ids array<int>"
-    return by_batch(text_rows(docs), _encode_rows, schema, *_shared(docs, path), size=BATCH)
+def encode(docs: DataFrame, path: str, *carried: str) -> DataFrame:
+    """doc_id, ``carried`` columns, ids, and the offsets of the slices.
+
+    slice_bytes is the byte at which each slice begins, slice_ids the number of its first id; both
+    have a last entry for the end, so any range of slices decodes by itself.
+    """
+    kept = docs.select(*[F.col(c) for c in carried]).schema
+    own = "ids array<int>, slice_bytes array<int>, slice_ids array<int>"
+    schema = ", ".join(["doc_id long", *[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], own])
+    return by_batch(text_rows(docs, *carried), _encode_rows, schema, *_shared(docs, path), size=BATCH)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -17,10 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def text_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the UTF-8 bytes of ``text`` (null: empty); other columns, whatever their names, go."""
+def text_rows(docs: DataFrame, *carried: str) -> DataFrame:
+    """``doc_id``, the ``carried`` columns and the UTF-8 bytes of ``text`` (null: empty); other columns, whatever their names, go."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in carried], body.alias("text"))
 
 
 def fold(doc_id: str | Column, of: int) -> Column:

@@ -152,7 +152,8 @@ def _pieces(placed: DataFrame, quotas: DataFrame) -> DataFrame:
     spans = F.sequence(block(F.col("begin")), block(F.col("begin") + F.col("_size") - 1))
     parts = docs.select("_row", "_size", "begin", "shard_size", "blocks", *shard, F.explode(spans).alias("block"))
     edge = [F.floor((F.col("block") + k) * F.col("shard_size") / F.col("blocks")) - F.col("begin") for k in (0, 1)]
-    parts = parts.join(_chosen(quotas), [*shard, "block"])
+    # Rows that an explode makes are not in the planner's estimate, which would broadcast them.
+    parts = parts.join(_chosen(quotas).hint("merge"), [*shard, "block"])
     return parts.select("_row", F.greatest(edge[0], F.lit(0)).alias("first"), F.least(edge[1], F.col("_size")).alias("after")).where("first < after")
 
 
@@ -161,7 +162,7 @@ def mix(docs: DataFrame) -> DataFrame:
     placed, quotas = _layout(_sized(docs))
     extra = _pieces(placed, quotas).groupBy("_row").agg(F.sum(F.col("after") - F.col("first")).alias("extra"))
     passes = quotas.select("unnamed", "source", "shard", "passes")
-    rows = placed.join(passes, ["unnamed", "source", "shard"], "left").join(extra, "_row", "left")
+    rows = placed.join(passes, ["unnamed", "source", "shard"], "left").join(extra.hint("merge"), "_row", "left")
     taken = F.coalesce(F.col("passes"), F.lit(0)) * F.col("_size") + F.coalesce(F.col("extra"), F.lit(0))
     return rows.select(
         F.col("_doc").alias("doc_id"), F.col("_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken")
@@ -183,7 +184,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     passes = placed.join(quotas.select("unnamed", "source", "shard", "passes"), ["unnamed", "source", "shard"]).where("passes > 0 AND _size > 0")
     whole = passes.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))).alias("_pass"))
     whole = whole.select("_row", F.lit(0).cast("long").alias("first"), F.lit(None).cast("long").alias("after"))
-    texts = rows.join(pieces.union(whole), "_row")
+    texts = rows.join(pieces.union(whole).hint("merge"), "_row")
     words = F.split(F.ltrim(F.lit(" \t\n\x0b\x0c\r"), F.col("_doc_row.text")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     cut = F.array_join(F.slice(words, F.col("first").cast("int") + 1, (F.col("after") - F.col("first")).cast("int")), "")
     text = F.when(F.col("after").isNull(), F.col("_doc_row.text")).otherwise(cut)

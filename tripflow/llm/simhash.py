@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.llm.common import text_rows
 from tripflow.llm.components import smallest_reachable
@@ -66,13 +67,21 @@ def fingerprint(text: bytes | None) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint long) for every row of ``docs``."""
+    return fingerprint_column(text_rows(docs)).select("doc_id", "fingerprint")
+
+
+def fingerprint_column(rows: DataFrame) -> DataFrame:
+    """``rows`` and the fingerprint of their ``text``, in place of any column of that name."""
+    rows = rows.drop("fingerprint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(text.as_py()) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(marks, pa.int64())], ["doc_id", "fingerprint"])
+            texts = (text.as_py() for text in batch.column("text"))
+            marks = [fingerprint(t.encode() if isinstance(t, str) else t) for t in texts]
+            yield batch.append_column("fingerprint", pa.array(marks, pa.int64()))
 
-    return text_rows(docs).mapInArrow(run, "doc_id long, fingerprint long")
+    schema = rows.schema
+    return rows.mapInArrow(run, type(schema)([*schema.fields, T.StructField("fingerprint", T.LongType())]))
 
 
 def _postings(marks: DataFrame) -> DataFrame:
@@ -147,27 +156,50 @@ def _through_hubs(crowded: DataFrame) -> DataFrame:
 
     around = crowded.select("posting", "mask", "mark").mapInArrow(run, "posting long, hub long, mark long")
     least = around.groupBy("posting", "hub").agg(F.min("mark").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return around.join(least.drop("n"), ["posting", "hub"]).where("mark > a").select("a", F.col("mark").alias("b")).distinct()
+    # The planner's estimate knows nothing of the hubs a row makes, so it must not choose a broadcast.
+    return around.join(least.drop("n").hint("merge"), ["posting", "hub"]).where("mark > a").select("a", F.col("mark").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and n_links for every row of ``docs``.
+def classes(rows: DataFrame, key: str) -> DataFrame:
+    """(mark, component, n_links) for every fingerprint of ``rows``: the smallest ``key`` of its component, and its links.
 
     Rows are reduced to distinct fingerprints before anything is paired, so a group of exact copies
-    is one node. n_links counts the other fingerprints that the row's fingerprint was linked to.
+    is one node. n_links counts the other fingerprints that a fingerprint was linked to.
     """
-    rows = stage(fingerprints(docs), "fingerprints")
-    marks = rows.groupBy(F.col("fingerprint").alias("mark")).agg(F.min("doc_id").alias("least"))
+    marks = rows.groupBy(F.col("fingerprint").alias("mark")).agg(F.min(key).alias("least"))
     marks = stage(marks, "marks")
     found = stage(links(marks.select("mark")), "near-links")
     roots = smallest_reachable(found)
     ends = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     nodes = stage(roots.join(degree, "node", "left").join(marks, F.col("node") == F.col("mark")), "near-nodes")
-    ids = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = nodes.join(ids, "root").select("mark", "component_id", "n_links")
+    ids = nodes.groupBy("root").agg(F.min("least").alias("component"))
+    linked = nodes.join(ids, "root").select("mark", "component", "n_links")
     alone = marks.join(linked.select("mark"), "mark", "left_anti")
-    classes = linked.union(alone.select("mark", F.col("least").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
-    return rows.join(classes, rows["fingerprint"] == classes["mark"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
+    return linked.union(alone.select("mark", F.col("least").alias("component"), F.lit(0).cast("long").alias("n_links")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id and n_links for every row of ``docs``."""
+    rows = stage(fingerprints(docs), "fingerprints")
+    found = classes(rows, "doc_id")
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return rows.join(found, rows["fingerprint"] == found["mark"]).select(
+        "doc_id", digits, F.col("component").alias("component_id"), "n_links"
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row, all columns, of each component: that of the smallest id, of equal or null ids any one.
+
+    Row numbers are fixed by a written table before they are compared, and only they are shuffled.
+    The written copy holds the rows until the result is read.
+    """
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), F.col("text").alias("text"))
+    marks = fingerprint_column(own).select("document", "fingerprint", F.monotonically_increasing_id().alias("row"))
+    rows = stage(marks, "marked")
+    place = F.struct(F.coalesce(F.col("document.doc_id").cast("long"), F.lit((1 << 63) - 1)), "row").alias("place")
+    places = rows.select("fingerprint", place)
+    found = classes(places, "place")
+    firsts = found.groupBy(F.col("component.row").alias("row")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.join(firsts.select("row"), "row", "left_semi").select("document.*")
