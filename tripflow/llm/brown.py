@@ -243,39 +243,67 @@ def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, i
     diagonal = np.diag(rest)
     gain = rows.sum(1) - np.diag(rows) + columns.sum(0) - np.diag(columns)
     gain += xlogx(diagonal + after + before + itself) - np.diag(plain)
-    lefts, rights = rest.sum(1), rest.sum(0)
+    # Wherever the unit goes, the classes before and after it keep its neighbours among their totals.
+    lefts, rights = rest.sum(1) + before, rest.sum(0) + after
     gain -= xlogx(lefts + after.sum() + itself) - xlogx(lefts)
     return gain - (xlogx(rights + before.sum() + itself) - xlogx(rights))
 
 
+def likelihood(matrix: np.ndarray) -> float:
+    """The part of the log likelihood that depends on the classes."""
+    return float(xlogx(matrix).sum() - xlogx(matrix.sum(0)).sum() - xlogx(matrix.sum(1)).sum())
+
+
 def exchange(table: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(class by unit, class matrix) after rounds in which a third of the units, in turn, move to their best class."""
+    """(class by unit, class matrix) after rounds in which a third of the units, in turn, move to their best class.
+
+    A task moves its units one after the other on a matrix of its own. Tasks do not see each other's
+    moves, so a round counts only if the likelihood of all moves together, or else of the half or the
+    quarter that gains most, has grown.
+    """
     context = table.sparkSession.sparkContext
     classes = first_classes(table)
+    matrix = class_matrix(table, context.broadcast(classes))
     for at in range(rounds):
-        shared = context.broadcast(classes)
-        matrix = context.broadcast(class_matrix(table, shared))
+        shared = context.broadcast((classes, matrix))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            units, best = [], []
+            of, total = (x.copy() for x in shared.value)
+            units, best, gained = [], [], []
             for unit, after, n, before, m in _rows(batches):
                 if unit == END or (unit * 2654435761 >> 7) % 3 != at % 3:
                     continue
-                own = shared.value[unit]
+                own = of[unit]
                 itself = float(n[after == unit].sum())
-                right = np.bincount(shared.value[after], n, CLASSES + 1).astype(float)
-                left = np.bincount(shared.value[before], m, CLASSES + 1).astype(float)
+                right = np.bincount(of[after], n, CLASSES + 1)
+                left = np.bincount(of[before], m, CLASSES + 1)
                 right[own] -= itself
                 left[own] -= itself
-                gain = gains(matrix.value, own, right, left, itself)[:CLASSES]
-                units.append(unit)
-                best.append(int(gain.argmax()) if gain.max() > gain[own] + 1e-6 else int(own))
-            yield pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(best, pa.int64())], ["unit", "best"])
-
-        moved = table.mapInArrow(run, "unit long, best long").collect()
-        classes = classes.copy()
-        classes[[r["unit"] for r in moved]] = [r["best"] for r in moved]
-    return classes, class_matrix(table, context.broadcast(classes))
+                gain = gains(total, own, right, left, itself)[:CLASSES]
+                to = int(gain.argmax())
+                if gain[to] > gain[own] + 1e-6:
+                    for place, sign in ((own, -1), (to, 1)):
+                        total[place] += sign * right
+                        total[:, place] += sign * left
+                        total[place, place] += sign * itself
+                    of[unit] = to
+                    units.append(unit)
+                    best.append(to)
+                    gained.append(float(gain[to] - gain[own]))
+            kinds = (pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((units, best, gained), kinds)], ["unit", "best", "gain"])
+
+        moves = table.mapInArrow(run, "unit long, best long, gain double").collect()
+        moves.sort(key=lambda r: (-r["gain"], r["unit"]))
+        for part in (1, 2, 4):
+            some = moves[: len(moves) // part]
+            tried = classes.copy()
+            tried[[r["unit"] for r in some]] = [r["best"] for r in some]
+            grown = class_matrix(table, context.broadcast(tried)) if some else matrix
+            if likelihood(grown) > likelihood(matrix):
+                classes, matrix = tried, grown
+                break
+    return classes, matrix
 
 
 @dataclass
@@ -290,6 +318,7 @@ class Model:
     spread: np.ndarray
     tokens: int
     types: int
+    ends: int
 
 
 def train(counts: DataFrame, texts: DataFrame) -> Model:
@@ -314,7 +343,8 @@ def train(counts: DataFrame, texts: DataFrame) -> Model:
     likely = (matrix.sum(0) + 1) / (matrix.sum() + CLASSES + 1)
     steps = np.log10((matrix + 2 * likely) / (matrix.sum(1, keepdims=True) + 2))
     tokens, types = sum(r["n"] for r in sums), sum(r["types"] for r in sums)
-    return Model(*words, classes, steps, np.log10(spread + HALF), int(tokens), int(types))
+    ends = sum(r["n"] for r in sums if r["class"] == CLASSES)  # the end's class holds nothing else
+    return Model(*words, classes, steps, np.log10(spread + HALF), int(tokens), int(types), int(ends))
 
 
 
@@ -330,8 +360,6 @@ def _parts(texts: DataFrame, model) -> DataFrame:
         m: Model = model.value
         own = Vocabulary(m.hashes, m.forms.copy(), m.counts)
         known_log = np.log10(m.counts + HALF)
-        end = int(np.searchsorted(m.hashes, word_hash(END_WORD)))
-        n_end = int(m.counts[end]) if end < len(m.hashes) and m.hashes[end] == word_hash(END_WORD) else 0
         floor = np.log10(m.tokens + HALF * (m.types + 1))
         for batch in batches:
             for part in slices(batch, 1 << 22):
@@ -341,10 +369,10 @@ def _parts(texts: DataFrame, model) -> DataFrame:
                     numbers = own.numbers(words)
                     classes = np.concatenate([[CLASSES], m.classes[own.units_of(numbers)], [CLASSES]])
                     some = numbers[numbers >= 0]
-                    both = known_log[some].sum() + np.log10(n_end + HALF)
+                    both = known_log[some].sum() + np.log10(m.ends + HALF)
                     rare = Counter(w for w, at in zip(words, numbers.tolist()) if at < 0) if len(some) < len(words) else {}
                     made[0].append(len(words) + 1)
-                    made[1].append(len(some) + (n_end > 0))
+                    made[1].append(len(some) + (m.ends > 0))
                     made[2].append(both - floor * (len(words) + 1))
                     made[3].append(both + m.steps[classes[:-1], classes[1:]].sum() - m.spread[classes[1:]].sum())
                     made[4].append([{"hash": word_hash(w), "n": n} for w, n in rare.items()])
