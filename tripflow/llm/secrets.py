@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import by_batch, text_rows
+from tripflow.session import stage
 
 # The patterns of known kinds, in their order; the length that a match must reach.
 ASSIGN = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -34,7 +35,7 @@ KINDS = ("assign", "access", "hex", "crf")
 
 #: The fit's bounds: documents looked at for matches, and of those learned from with and as many without one.
 LOOK_ROWS = 65_536
-FIT_ROWS = 2_000
+FIT_ROWS = 1_000
 SHARDS = 4
 EPOCHS = 8
 HASHED = 1 << 12
@@ -45,9 +46,13 @@ FORBIDDEN = -1e4
 
 _WEAK = re.compile(rb"pass|pwd|secret|token|key|auth|cred|bearer|akia")
 _EDGE = b"\"'`,;:()[]{}<>!?#$%&*|\\"
+#: Letters, digits and other characters by kind; white space and the signs of an assignment stay.
 _SHAPE = bytes(
-    65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else 120 if c >= 128 else 46 for c in range(256)
+    65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else 120 if c >= 128 else c if chr(c) in " \t\n\v\f\r=:\"'" else 46
+    for c in range(256)
 )
+#: A token this long, with a digit, or whose letters name a secret is looked at itself; of others only the shape counts.
+LONG = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32]] = True
 
@@ -62,35 +67,46 @@ def pattern_spans(text: bytes) -> list[tuple[str, int, int, int]]:
     return found + [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
 
 
-def token_features(token: bytes) -> list[int]:
-    """Hashed features of one token: its length, shape, kinds of characters, ends and wording."""
-    core = token.strip(_EDGE)
-    n = max(len(core), 1)
-    shape = core[:64].translate(_SHAPE)
-    digits, upper, lower = shape.count(b"0"), shape.count(b"A"), shape.count(b"a")
-    parts = [
+def is_plain(shape: bytes) -> bool:
+    return len(shape) < LONG and b"0" not in shape
+
+
+def shape_features(shape: bytes) -> list[bytes]:
+    core = shape.strip(b".=:\"'")
+    n = max(min(len(core), 64), 1)
+    digits, upper, lower = core.count(b"0"), core.count(b"A"), core.count(b"a")
+    return [
         b"always",
-        b"length%d" % (min(n, 64) // 4),
-        b"shape" + bytes(c for c, _ in groupby(shape))[:8],
+        b"length%d" % (n // 4),
+        b"shape" + bytes(c for c, _ in groupby(core[:64]))[:8],
         b"kinds%d%d%d" % (digits > 0, upper > 0, lower > 0),
-        b"digits%d" % (5 * digits // min(n, 64)),
-        b"changes%d" % (min(16, sum(a != b for a, b in zip(shape, shape[1:]))) // 2),
-        b"distinct%d" % (len(set(core[:64])) // 4),
-        b"last" + token[-1:],
+        b"digits%d" % (5 * min(digits, n) // n),
+        b"changes%d" % (min(16, sum(a != b for a, b in zip(core[:64], core[1:65]))) // 2),
+        b"last" + shape[-1:],
+        b"assigns%d" % (b"=" in shape or b":" in shape),
     ]
-    lowered = core[:40].lower()
-    if n <= 12:
-        parts.append(b"word" + lowered)
-    if n >= 16:
-        parts.append(b"start" + core[:4])
-        parts.append(b"long%d%d" % (digits > 0, (upper > 0) + (lower > 0)))
-    if _WEAK.search(lowered):
-        parts.append(b"names a secret")
-    if b"=" in token or b":" in token:
-        parts.append(b"assigns")
+
+
+def token_features(token: bytes, weak: bool) -> list[int]:
+    """Hashed features of one token: its shape, and for tokens that are not plain words their characters and wording."""
+    shape = token.translate(_SHAPE)
+    parts = shape_features(shape)
+    if weak or not is_plain(shape):
+        core = token.strip(_EDGE)
+        parts.append(b"distinct%d" % (len(set(core[:64])) // 4))
+        if weak:
+            parts += [b"names a secret", b"word" + core[:LONG].lower()]
+        if len(core) >= LONG:
+            parts += [b"start" + core[:4], b"hex%d" % (not core[:64].strip(b"0123456789abcdefABCDEF"))]
     return [zlib.crc32(p) % HASHED for p in parts]
 
 
+def weak_tokens(text: bytes, lowered: bytes) -> set[int]:
+    """The numbers of the tokens whose letters name a secret."""
+    found = [m.start() for m in _WEAK.finditer(lowered)]
+    return set((np.searchsorted(places(text)[0], found, "right") - 1).tolist()) if found else set()
+
+
 def file_features(text: bytes, n: int) -> np.ndarray:
     """Features of the whole file: its length and how much it assigns."""
     n = max(n, 1)
@@ -108,24 +124,39 @@ class Field:
         self.word = flat[: 9 * HASHED].reshape(self.SHAPES[0])
         self.file = flat[9 * HASHED : 9 * HASHED + 9].reshape(3, 3)
         self.step = flat[9 * HASHED + 9 :].reshape(3, 3)
-        self.rows: dict[bytes, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[tuple | bytes, int] = {}
         self.table = np.zeros((1024, 9))
 
-    def number(self, token: bytes) -> int:
-        """The row of ``table`` with what the token adds to its own tag, the one after and the one before."""
-        at = self.rows.get(token)
-        if at is None:
-            at = self.rows[token] = len(self.rows)
-            if at == len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[at] = self.word[:, token_features(token), :].sum(1).ravel()
+    def _number(self, key: tuple | bytes, features: list[int]) -> int:
+        """The row of ``table`` with what a token adds to its own tag, to the one after and to the one before."""
+        at = self.rows[key] = len(self.rows)
+        if at == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[at] = self.word[:, features, :].sum(1).ravel()
         return at
 
+    def _of_shape(self, shape: bytes) -> int:
+        """The row of a plain shape; -1, also kept, for a shape whose tokens are looked at themselves."""
+        if is_plain(shape):
+            return self._number(shape, [zlib.crc32(p) % HASHED for p in shape_features(shape)])
+        if len(shape) < 64:
+            self.rows[shape] = -1
+        return -1
+
     def emissions(self, text: bytes, tokens: list[bytes]) -> np.ndarray:
         if len(self.rows) > 200_000:
-            self.rows, self.table = {}, np.zeros((1024, 9))
-        get, number = self.rows.get, self.number
-        at = [i if (i := get(t)) is not None else number(t) for t in tokens]
+            self._forget()
+        get, of_shape = self.rows.get, self._of_shape
+        shapes = text.translate(_SHAPE).split()
+        at = np.array([i if (i := get(s)) is not None else of_shape(s) for s in shapes])
+        weak = weak_tokens(text, text.lower())
+        for place in {*np.flatnonzero(at < 0).tolist(), *weak}:
+            key = tokens[place], place in weak
+            row = get(key)
+            at[place] = self._number(key, token_features(*key)) if row is None else row
         each = self.table[at]
         out = each[:, 0:3] + file_features(text, len(tokens)) @ self.file
         out[1:] += each[:-1, 3:6]
@@ -229,11 +260,12 @@ def windows(text: bytes) -> list[tuple[list[list[int]], np.ndarray, list[int]]]:
     marked = np.flatnonzero(tags).tolist()
     plain = [i for i, t in enumerate(tokens) if not tags[i] and len(t) > 5 and digit.search(t)][:4]
     whole = file_features(text, len(tokens))
+    weak = weak_tokens(text, text.lower())
     out, covered = [], -1
     for at in sorted({*marked[:8], *plain, len(tokens) // 2}):
         if at > covered:
             first, covered = max(0, at - AROUND), min(len(tokens), at + AROUND)
-            out.append(([token_features(t) for t in tokens[first:covered]], whole, tags[first:covered].tolist()))
+            out.append(([token_features(tokens[i], i in weak) for i in range(first, covered)], whole, tags[first:covered].tolist()))
     return out
 
 
@@ -290,7 +322,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field | None:
     # Hashes of texts are uniform, so a threshold on them draws about LOOK_ROWS texts, the same for every partitioning.
     part = min(1.0, LOOK_ROWS / max(docs.count(), 1))
     share = texts.where(F.pmod("draw", F.lit(1 << 20)) < part * (1 << 20))
-    drawn = by_batch(share, marked, "draw long, hit boolean").distinct()
+    drawn = stage(by_batch(share, marked, "draw long, hit boolean").distinct(), "secret-draws")
     chosen = drawn.where("hit").orderBy("draw").limit(rows).union(drawn.where("NOT hit").orderBy("draw").limit(rows))
     return _fit_on(texts.join(F.broadcast(chosen), "draw").dropDuplicates(["draw"]))  # chosen has 2 * rows rows at most
 
