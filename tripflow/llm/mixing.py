@@ -185,7 +185,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     whole = passes.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))).alias("_pass"))
     whole = whole.select("_row", F.lit(0).cast("long").alias("first"), F.lit(None).cast("long").alias("after"))
     texts = rows.join(pieces.union(whole).hint("merge"), "_row")
-    words = F.split(F.ltrim(F.lit(" \t\n\x0b\x0c\r"), F.col("_doc_row.text")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    words = F.split(F.ltrim(F.col("_doc_row.text"), F.lit(" \t\n\x0b\x0c\r")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     cut = F.array_join(F.slice(words, F.col("first").cast("int") + 1, (F.col("after") - F.col("first")).cast("int")), "")
     text = F.when(F.col("after").isNull(), F.col("_doc_row.text")).otherwise(cut)
     made = {c: F.col(f"_doc_row.`{c}`") for c in docs.columns} | {"text": text}
