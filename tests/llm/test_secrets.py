@@ -122,3 +122,10 @@ def test_emissions_do_not_depend_on_the_cache():
     slow[:-1] += own[1:, 2]
     for _ in range(2):
         assert np.allclose(field.emissions(text, tokens), slow)
+
+
+def test_the_table_of_tokens_grows_past_shapes_that_have_no_row():
+    flat = np.random.default_rng(2).normal(size=secrets.Field.SIZE)
+    text = " ".join(f"{'x' * (i % 40)}{i}" for i in range(6000)).encode()
+    field = secrets.Field(flat)
+    assert np.isfinite(field.emissions(text, text.split())).all() and field.used > 4096

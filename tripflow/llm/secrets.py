@@ -128,11 +128,12 @@ class Field:
 
     def _forget(self) -> None:
         self.rows: dict[tuple | bytes, int] = {}
-        self.table = np.zeros((1024, 9))
+        self.table, self.used = np.zeros((1024, 9)), 0
 
     def _number(self, key: tuple | bytes, features: list[int]) -> int:
         """The row of ``table`` with what a token adds to its own tag, to the one after and to the one before."""
-        at = self.rows[key] = len(self.rows)
+        at = self.rows[key] = self.used
+        self.used += 1
         if at == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         self.table[at] = self.word[:, features, :].sum(1).ravel()
