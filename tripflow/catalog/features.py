@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.catalog.oracle import FEATURE_COLUMNS, with_features, with_grid
 from tripflow.catalog.registry import Sample, query
-from tripflow.operators import features as ft
+from tripflow.operators import compare, features as ft
 from tripflow.operators import forecast, snapshots
 from tripflow.plans.feature_build import write_results
 from tripflow.sources.sample import EVENT_CONFIG
@@ -172,18 +172,7 @@ def planted_leak(s: Sample) -> DataFrame:
 )
 def frame_equality(s: Sample) -> DataFrame:
     """Two builds of the same features compared row by row, per split."""
-    left, right = s.features, ft.build_features(s.pickups, s.zones, EVENT_CONFIG)
-    sides = left.withColumn("_side", F.lit(1)).unionByName(right.withColumn("_side", F.lit(-1)))
-    rows = sides.groupBy(*left.columns).agg(
-        F.sum("_side").alias("_balance"),
-        F.count_if(F.col("_side") == 1).alias("_left"),
-        F.count_if(F.col("_side") == -1).alias("_right"),
-    )
-    return rows.groupBy("split").agg(
-        F.sum("_left").alias("rows_left"),
-        F.sum("_right").alias("rows_right"),
-        F.sum(F.abs("_balance")).cast("long").alias("only_in_one"),
-    )
+    return compare.frame_differences(s.features, ft.build_features(s.pickups, s.zones, EVENT_CONFIG), ["split"])
 
 
 @query(

@@ -309,9 +309,9 @@ def null_patterns(s: Sample) -> DataFrame:
 def first_occurrence(s: Sample) -> DataFrame:
     """First line per (order, line number), ordered by part, supplier and price."""
     lines = s.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    order = F.struct("l_partkey", "l_suppkey", "l_extendedprice")
-    firsts = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min(order).alias("_first"))
-    return firsts.select("l_orderkey", "l_linenumber", "_first.*")
+    place = F.struct("l_partkey", "l_suppkey", "l_extendedprice")
+    keyed = lines.withColumn("_line", F.struct("l_orderkey", "l_linenumber")).withColumn(POSITION, place)
+    return dedup.first_per_key(keyed, "_line").drop("_line", POSITION)
 
 
 @query(

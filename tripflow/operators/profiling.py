@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow import schemas
-from tripflow.functions.numbers import money, ratio
+from tripflow.functions.numbers import ratio
 from tripflow.operators.rules import NULL_RATE_WARNING
 
 
@@ -50,31 +50,49 @@ def violation_summary(df: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
-    """Rows, and rows that repeat an earlier row in every column."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-    )
+    """Rows, and rows that repeat an earlier row in every column.
+
+    Sixteen bytes of digests of a row are counted first; only rows whose digests repeat are compared
+    as whole rows, so a delivery without repeats never shuffles a wide row.
+    """
+    digest = F.xxhash64(*df.columns), F.xxhash64(F.lit(1), *df.columns)
+    counts = df.select(*[d.alias(f"_d{i}") for i, d in enumerate(digest)]).groupBy("_d0", "_d1").agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"))
+    repeated = counts.filter("_n > 1").select("_d0", "_d1")
+    suspects = df.select("*", *[d.alias(f"_d{i}") for i, d in enumerate(digest)]).join(repeated, ["_d0", "_d1"], "left_semi")
+    groups = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    repeats = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+    both = totals.withColumn("duplicate_rows", F.lit(0)).unionByName(repeats.withColumn("rows", F.lit(0)))
+    return both.agg(F.sum("rows").cast("long").alias("rows"), F.sum("duplicate_rows").cast("long").alias("duplicate_rows"))
 
 
-QUANTILE_BUCKET = 1000
+# Values are held to eight decimals and sixteen digits before the point; larger ones fail the cast.
+VALUE = "decimal(24,8)"
+TIMES = "decimal(12,0)"
+# Steps of a bucket per doubling of the value.
+QUANTILE_STEPS = 1024
 
 
 def _value_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows per column and distinct value, at the two decimals of the money type."""
-    long = df.select(*[money(F.col(c)).alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    """Rows per column and distinct value."""
+    long = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).cast(VALUE).alias(c) for c in columns])
+    long = long.unpivot([], columns, "column_name", "value")
     return long.filter("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _bucket(value: Column) -> Column:
+    """A bucket number that never falls as the value grows: steps of a 1,024th of a doubling on each side of zero."""
+    size = F.floor(QUANTILE_STEPS * (F.log2(F.abs(value).cast("double")) + 32)) + 1
+    return F.when(value == 0, 0).otherwise(F.when(value < 0, -size).otherwise(size)).cast("long")
+
+
 def exact_quantiles(values: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per column from a value table, exact and without one task seeing all values.
 
-    Two bounded steps: the money type has at most 200,000 buckets of 1,000 units, so the running
-    count over buckets is small; then only the buckets that hold a wanted rank are opened, each with
-    at most 100,000 distinct values.
+    Two bounded steps: the value type has at most some 160,000 buckets, so the running count over
+    buckets is small; then only the buckets that hold a wanted rank are opened.
     """
-    bucketed = values.withColumn("_bucket", F.floor(F.col("value") / QUANTILE_BUCKET))
+    bucketed = values.withColumn("_bucket", _bucket(F.col("value")))
     by_bucket = Window.partitionBy("column_name").orderBy("_bucket")
     buckets = (
         bucketed.groupBy("column_name", "_bucket")
@@ -111,7 +129,7 @@ def exact_quantiles(values: DataFrame, shares: dict[str, float]) -> DataFrame:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, standard deviation, min, exact quartiles and max of numeric columns, one row each."""
     values = _value_table(df, columns)
-    n, value = F.col("n"), F.col("value")
+    n, value = F.col("n").cast(TIMES), F.col("value")
     rows = F.sum("n")
     total = F.sum(value * n).cast("double")
     squares = F.sum(value * value * n).cast("double")
@@ -147,15 +165,15 @@ def null_patterns(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame
 def outlier_share(df: DataFrame, column: str, limit: float) -> DataFrame:
     """Rows above ``limit``, their share of the column's total, the mean with and without them, the median.
 
-    Means are over positive values. Sums are exact: the column is fixed-point.
+    Means are over positive values. Sums are exact: values are fixed-point.
     """
     values = _value_table(df, [column])
-    n, value = F.col("n"), F.col("value")
+    n, value = F.col("n").cast(TIMES), F.col("value")
     over, positive = value > limit, value > 0
     kept = positive & ~over
 
     def rows(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+        return F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
 
     def total(test: Column) -> Column:
         return F.coalesce(F.sum(F.when(test, value * n)).cast("double"), F.lit(0.0))

@@ -91,7 +91,7 @@ def load_month(
     warehouse.insert_dimension(wh, "dim_location", star.location_rows(good), "location_key")
 
     facts = star.fact_rows(good, vendor, payment, rate_code)
-    summary["rows_inserted"] = warehouse.insert_fact(wh, facts, warehouse.load_base(run_id), unique=True)
+    summary["rows_inserted"] = warehouse.insert_fact(wh, facts, unique=True)
     summary["rows_skipped"] = summary["rows_valid"] - summary["rows_inserted"]
     summary["fact_trip_count"] = wh.read("fact_trip").count()
     summary["quarantine_trip_count"] = wh.read("quarantine_trip").count()

@@ -71,7 +71,7 @@ def line_trips(spark: SparkSession, folder: str) -> DataFrame:
 
     return (
         joined.withColumn("_copy", F.explode(copies))
-        .withColumn(POSITION, F.col(POSITION) * 2 + F.col("_copy"))
+        .withColumn(POSITION, F.struct(f"{POSITION}.*", "_copy"))
         .select(
             _unless(_damaged("0.06"), F.col("l_linenumber").cast("long")).alias("VendorID"),
             _unless(_damaged("0.10"), pickup).alias("tpep_pickup_datetime"),

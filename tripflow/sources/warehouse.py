@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +30,10 @@ TABLES = {
 MART_TABLE = "mart_daily_zone_trips"
 # A key set up to this many rows (well under 100 MB of hex keys) may be broadcast.
 BROADCAST_KEYS = 500_000
-# trip_key: bits for the load, then for the task, then for the row in the task.
-# That is room for 8,192 loads of 4 million tasks with 268 million rows each.
-_LOAD_BITS, _TASK_BITS = 50, 28
+KEY_RANGES = "trip_key_range"
+# Fixed value: the folder name Spark gives to a missing partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+PICKUP_MONTH = "pickup_month"
 _MONOTONIC_BITS = 33
 
 
@@ -61,11 +62,21 @@ class Warehouse:
             return self.read_mart()
         if not self.exists(table):
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(self.path(table))
+        return self.spark.read.schema(TABLES[table]).parquet(self.path(table)).select(*TABLES[table].fieldNames())
+
+    def read_parts(self, table: str, column: str, values: list[str | None]) -> DataFrame:
+        """The rows in the partition folders of ``values``; no other folder is listed."""
+        folders = [f"{self.path(table)}/{column}={NO_VALUE if v is None else v}" for v in values]
+        there = [f for f in folders if files.exists(self.spark, f)]
+        if not there:
+            return self.spark.createDataFrame([], TABLES[table])
+        scan = self.spark.read.schema(TABLES[table]).option("basePath", self.path(table))
+        return scan.parquet(*there).select(*TABLES[table].fieldNames())
 
     def append(self, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
         names = TABLES[table].fieldNames()
-        writer = rows.select(*names).write.mode("append")
+        extra = [partition_by] if partition_by and partition_by not in names else []
+        writer = rows.select(*names, *extra).write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(table))
@@ -129,43 +140,61 @@ def absent_rows_staged(rows: DataFrame, existing: DataFrame, key: str) -> DataFr
     return rows.join(shared, key, "left_anti")
 
 
-def one_per_key(rows: DataFrame, key: str) -> DataFrame:
-    """The first row of every key. Costs a count of eight-byte digests when no key repeats."""
+def one_per_key(rows: DataFrame, key: str, position: str | None = None) -> DataFrame:
+    """The first row of every key by ``position``. Costs a count of eight-byte digests when no key repeats.
+
+    Which of several copies is first cannot be told without a position (by default the scan's own, if
+    the rows carry it), so repeats without one are refused.
+    """
     from tripflow.operators.dedup import first_per_key, suspect_rows
     from tripflow.sources.raw import POSITION
 
+    position = position or POSITION
+    placed = position in rows.columns
     if suspect_rows(rows, F.xxhash64(key)) is None:
-        return rows
-    return first_per_key(rows.withColumn(POSITION, F.monotonically_increasing_id()), key).drop(POSITION)
+        return rows.drop(position)
+    if not placed:
+        if rows.groupBy(key).count().filter("count > 1").isEmpty():
+            return rows
+        raise ValueError(f"{key} repeats within the rows and no column {position} says which row is first")
+    return first_per_key(rows, key, position).drop(position)
 
 
-def insert_dimension(wh: Warehouse, table: str, rows: DataFrame, key: str) -> None:
-    """First write wins: rows with a known key are ignored, never updated."""
-    wh.append(table, absent_rows(rows.dropDuplicates([key]), wh.read(table), key))
+def insert_dimension(wh: Warehouse, table: str, rows: DataFrame, key: str, position: str | None = None) -> None:
+    """First write wins: rows with a known key are ignored, never updated; of new rows the first of a key is kept."""
+    wh.append(table, absent_rows(one_per_key(rows, key, position), wh.read(table), key))
 
 
 def insert_quarantine(wh: Warehouse, rows: DataFrame, unique: bool = False) -> int:
-    """Insert-if-absent on trip_id against the whole table; returns the rows added.
+    """Insert-if-absent on trip_id; returns the rows added.
 
-    Rejected rows may carry any pickup time or none, so no partition can be left out. ``unique``
-    says that no trip_id repeats within the rows.
+    trip_id covers the pickup time, so an equal trip_id has an equal pickup or none: the table is
+    kept by pickup month, rows without a pickup apart, and only the months of the batch are read.
+    ``unique`` says that no trip_id repeats within the rows.
     """
+    from tripflow.functions.calendar import month_text
+
     rows = rows if unique else one_per_key(rows, "trip_id")
-    before = wh.read("quarantine_trip").count() if wh.exists("quarantine_trip") else 0
-    fresh = absent_rows_staged(rows, wh.read("quarantine_trip"), "trip_id") if before else rows
-    wh.append("quarantine_trip", fresh)
-    return wh.read("quarantine_trip").count() - before
-
-
-# fact column -> (dimension table, dimension key)
-FACT_KEYS = {
-    "date_key": ("dim_date", "date_key"),
-    "pickup_location_key": ("dim_location", "location_key"),
-    "dropoff_location_key": ("dim_location", "location_key"),
-    "vendor_key": ("dim_vendor", "vendor_key"),
-    "payment_type_key": ("dim_payment", "payment_type_key"),
-    "rate_code_key": ("dim_rate_code", "rate_code_key"),
-}
+    rows = rows.withColumn(PICKUP_MONTH, month_text(F.col("tpep_pickup_datetime")))
+    # One value per calendar month of the batch.
+    months = [r[0] for r in rows.select(PICKUP_MONTH).distinct().collect()]
+    fresh = stage(absent_rows_staged(rows, wh.read_parts("quarantine_trip", PICKUP_MONTH, months), "trip_id"), "quarantine-new")
+    wh.append("quarantine_trip", fresh, partition_by=PICKUP_MONTH)
+    return fresh.count()
+
+
+def _fact_keys() -> dict[str, tuple[str, str]]:
+    """Fact column -> (dimension table, its key), by name: a fact key ends with the key of its dimension."""
+    dims = {schema.fieldNames()[0]: table for table, schema in TABLES.items() if table.startswith("dim_")}
+    return {
+        name: (table, key)
+        for name in schemas.FACT.fieldNames()
+        for key, table in dims.items()
+        if name == key or name.endswith(f"_{key}")
+    }
+
+
+FACT_KEYS = _fact_keys()
 
 
 def orphan_counts(batch: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -200,39 +229,46 @@ def check_fact_keys(batch: DataFrame, dims: dict[str, DataFrame]) -> None:
     # At most one row per key column.
     orphans = {r["column_name"]: r["orphan_rows"] for r in orphan_counts(batch, dims).collect()}
     if orphans:
-        raise ReferentialIntegrityError(f"Fact batch refused: keys with no matching dimension row: {orphans}")
+        raise ReferentialIntegrityError(f"nothing was loaded, rows per column whose key is in no dimension: {orphans}")
+
 
+def with_surrogate_keys(wh: Warehouse, rows: DataFrame) -> DataFrame:
+    """``rows``, written, with trip_key: consecutive numbers above every number given out before.
 
-def surrogate_key(base: int):
-    """Unique longs above ``base`` without a global sort: task number, then row in the task."""
+    The rows of each task are counted first, so a task's numbers begin where those of the tasks
+    before it end, however many rows or tasks there are. The range is recorded before any row is
+    loaded: a load that dies leaves a gap, never a number that is given twice.
+    """
     mono = F.monotonically_increasing_id()
-    task = F.shiftright(mono, _MONOTONIC_BITS)
     row = mono.bitwiseAND(F.lit((1 << _MONOTONIC_BITS) - 1).cast("long"))
-    return (F.lit(base).cast("long") + F.shiftleft(task, _TASK_BITS) + row).cast("long")
-
-
-def load_base(run_id: int) -> int:
-    """First trip_key of a run; runs never overlap."""
-    base = run_id << _LOAD_BITS
-    if base >= 1 << 63:
-        raise OverflowError(f"run {run_id} is beyond the range of trip_key")
-    return base
+    placed = stage(rows.select("*", F.spark_partition_id().alias("_task"), row.alias("_row")), "fact-batch")
+    sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))  # one row for each task
+    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stage(sizes.select("_task", "_n", F.coalesce(before, F.lit(0)).alias("_before")), "task-offsets")
+    base, n = next_base(wh), offsets.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if n:
+        taken = wh.spark.createDataFrame([(base + n - 1,)], "last_key long").coalesce(1)
+        taken.write.mode("append").parquet(wh.path(KEY_RANGES))
+    key = F.lit(base).cast("long") + F.col("_before") + F.col("_row")
+    # As many offsets as the load had tasks.
+    return placed.join(F.broadcast(offsets.drop("_n")), "_task").withColumn("trip_key", key).drop("_task", "_row", "_before")
 
 
 def next_base(wh: Warehouse) -> int:
-    """First free trip_key when rows are inserted outside a recorded run."""
-    top = wh.read("fact_trip").agg(F.max("trip_key")).first()[0]
+    """The first trip_key that no load was given."""
+    if files.exists(wh.spark, wh.path(KEY_RANGES)):
+        top = wh.spark.read.schema("last_key long").parquet(wh.path(KEY_RANGES)).agg(F.max("last_key")).first()[0]
+    else:
+        top = wh.read("fact_trip").agg(F.max("trip_key")).first()[0]
     return 1 if top is None else top + 1
 
 
-def insert_fact(
-    wh: Warehouse, batch: DataFrame, base: int | None = None, check: bool = True, unique: bool = False
-) -> int:
+def insert_fact(wh: Warehouse, batch: DataFrame, check: bool = True, unique: bool = False) -> int:
     """Insert-if-absent on trip_id; returns the rows added.
 
     trip_id covers the pickup time, so an equal trip_id lies in the same month: only the months of
-    the batch are read. The first version of a trip wins; a re-delivered one is skipped. ``unique``
-    says that no trip_id repeats within the batch, as after the rules.
+    the batch are listed and read. The first version of a trip wins; a re-delivered one is skipped.
+    ``unique`` says that no trip_id repeats within the batch, as after the rules.
     """
     from tripflow.functions.calendar import month_text
 
@@ -244,19 +280,14 @@ def insert_fact(
     months = [r[0] for r in batch.select("trip_month").distinct().collect()]
     if not months:
         return 0
-
-    def stored() -> DataFrame:
-        return wh.read("fact_trip").filter(F.col("trip_month").isin(months))
-
-    before = stored().count() if wh.exists("fact_trip") else 0
-    fresh = absent_rows_staged(batch, stored(), "trip_id") if before else batch
+    fresh = absent_rows_staged(batch, wh.read_parts("fact_trip", "trip_month", months), "trip_id")
     if len(months) > 1:
         # A batch of many months: one task per month's share instead of every task writing every month.
         fresh = fresh.hint("rebalance", "trip_month")
-    keyed = fresh.withColumn("trip_key", surrogate_key(next_base(wh) if base is None else base))
     # Zone order inside each file lets row-group statistics skip by zone.
-    wh.append("fact_trip", keyed.sortWithinPartitions("trip_month", "pickup_location_key"), partition_by="trip_month")
-    return stored().count() - before
+    keyed = with_surrogate_keys(wh, fresh).sortWithinPartitions("trip_month", "pickup_location_key")
+    wh.append("fact_trip", keyed, partition_by="trip_month")
+    return keyed.count()
 
 
 def schema_of(table: str) -> T.StructType:
