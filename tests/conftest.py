@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tripflow import schemas  # noqa: E402
-from tripflow.session import local_session  # noqa: E402
+from tripflow.session import local_session, release  # noqa: E402
 from tripflow.sources.raw import MONTH_FILE  # noqa: E402
 
 NOW = dt.datetime(2026, 10, 3, 12, 0)
@@ -20,7 +20,8 @@ MONTH = "2026-01"
 def spark():
     session = local_session(4, memory="4g", app="tripflow-tests")
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    release(session)
 
 
 def trip(**changes) -> dict:

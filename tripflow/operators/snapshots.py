@@ -127,8 +127,7 @@ def write_snapshot(
         stored = read_manifest(spark, root, version)
         if fingerprint_text(features) != stored["fingerprint"]:
             raise SnapshotExistsError(
-                f"Snapshot {version} already exists with different contents. Snapshots are immutable: "
-                "use a new version."
+                f"version {version} holds other features; what was published is immutable, so publish the new ones as another version"
             )
         return stored
 
@@ -155,6 +154,7 @@ def write_snapshot(
     }
     one_row = spark.createDataFrame([manifest], MANIFEST).coalesce(1)
     one_row.write.mode("overwrite").json(_manifest(root, version))
+    files.mark_complete(spark, _manifest(root, version))
     return manifest
 
 
@@ -164,5 +164,5 @@ def verify_snapshot(spark: SparkSession, root: str, version: str | None = None)
     manifest = read_manifest(spark, root, version)
     table = spark.read.parquet(_data(root, version))
     if fingerprint_text(table) != manifest["fingerprint"]:
-        raise SnapshotModifiedError(f"{root}/{version} does not match its manifest: it was modified")
+        raise SnapshotModifiedError(f"the features stored in {root}/{version} are not those its manifest fingerprinted")
     return table, manifest

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,7 +63,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_scopes: list[list[str]] = []
+# The scope of the running job; threads and tasks of a driver program each see their own.
+_scope: ContextVar[list[str] | None] = ContextVar("staging scope", default=None)
+_unscoped: dict[str, list[str]] = {}
 
 
 @contextmanager
@@ -71,15 +74,23 @@ def staging_scope(spark: SparkSession) -> Iterator[None]:
     from tripflow.sources import files
 
     paths: list[str] = []
-    _scopes.append(paths)
+    outer = _scope.set(paths)
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scope.reset(outer)
         for path in paths:
             files.remove(spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove every table staged outside a scope; results that still read one are void then."""
+    from tripflow.sources import files
+
+    for path in _unscoped.pop(spark.sparkContext.applicationId, []):
+        files.remove(spark, path)
+
+
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -88,8 +99,10 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    if _scopes:
-        _scopes[-1].append(path)
+    paths = _scope.get()
+    if paths is None:
+        paths = _unscoped.setdefault(spark.sparkContext.applicationId, [])
+    paths.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

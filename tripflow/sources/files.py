@@ -15,9 +15,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+#: Written last beside the files of a publication; readers of the folder skip names with an underscore.
+COMMITTED = "_COMMITTED"
+
+
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Declare what was written below ``path`` published."""
+    fs, jvm_path = _hadoop_path(spark, f"{path}/{COMMITTED}")
+    fs.create(jvm_path, True).close()
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
-    """A Spark job that wrote this folder has committed."""
-    return exists(spark, f"{path}/_SUCCESS")
+    """Whether ``path`` was declared published; it does not matter which markers Spark's own jobs leave."""
+    return exists(spark, f"{path}/{COMMITTED}")
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:

@@ -104,7 +104,7 @@ class Warehouse:
         return self.spark.read.schema(schemas.MART).parquet(f"{self.path(MART_TABLE)}/{version}")
 
     def publish_mart(self, rows: DataFrame) -> int:
-        """Write the next version beside the current one; it becomes current when its job commits.
+        """Write the next version beside the current one; it becomes current when it is marked complete.
 
         The version before it stays for readers that opened it; older ones are removed.
         """
@@ -112,6 +112,7 @@ class Warehouse:
         number = int(old[-1].split("=")[1]) + 1 if old else 1
         path = f"{self.path(MART_TABLE)}/version={number:09d}"
         rows.select(*schemas.MART.fieldNames()).write.mode("overwrite").parquet(path)
+        files.mark_complete(self.spark, path)
         for name in old[:-1]:
             files.remove(self.spark, f"{self.path(MART_TABLE)}/{name}")
         return self.read_mart().count()
