@@ -47,7 +47,8 @@ ROUNDS = 12
 HALF = 0.5
 FOLDS, HELD = 5, 1
 END_WORD = b"\n"  # no word holds white space
-FLUSH = 1 << 20
+#: Distinct words, and neighbouring units, that a task holds before it hands on their counts.
+WORDS_HELD, UNITS_HELD = 1 << 18, 3 << 20
 #: Tasks over which the units are spread.
 UNIT_TASKS = 24
 
@@ -80,7 +81,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 for text in part.column("text").to_pylist():
                     counts.update(text.lower().split())
                 counts[END_WORD] += part.num_rows
-                if len(counts) >= FLUSH:
+                if len(counts) >= WORDS_HELD:
                     yield flush()
         if counts:
             yield flush()
@@ -152,7 +153,7 @@ def neighbours(texts: DataFrame, vocabulary) -> DataFrame:
                     line = np.concatenate([[END], units, [END]])
                     held.append((line[:-1] * width + line[1:]).astype(np.int32))
                     size += len(line)
-                if size >= 6 * FLUSH:
+                if size >= UNITS_HELD:
                     yield flush()
                     size = 0
         if held:
