@@ -129,3 +129,25 @@ def test_the_table_of_tokens_grows_past_shapes_that_have_no_row():
     text = " ".join(f"{'x' * (i % 40)}{i}" for i in range(6000)).encode()
     field = secrets.Field(flat)
     assert np.isfinite(field.emissions(text, text.split())).all() and field.used > 4096
+
+
+def test_every_token_gives_its_word_and_its_distinct_characters():
+    for one, other in (("login", "after"), ("aaaaa", "abcde")):
+        assert secrets.token_features(one.encode(), False) != secrets.token_features(other.encode(), False)
+
+
+def test_a_word_that_no_list_names_announces_a_secret():
+    def sample(word, tag):
+        tokens = ["some", "plain", "text", word, "mfjwqzk", "and", "more"]
+        return [secrets.token_features(t.encode(), False) for t in tokens], np.array([0.2, 0, 0]), [tag if t == "mfjwqzk" else secrets.O for t in tokens]
+
+    field = secrets.Field(secrets.learn(np.zeros(secrets.Field.SIZE), [sample("login", secrets.B), sample("after", secrets.O)] * 20))
+    tagged = lambda line: any(field.tags(field.emissions(line, line.split())))
+    assert tagged(b"some plain text login mfjwqzk and more") and not tagged(b"some plain text after mfjwqzk and more")
+
+
+def test_windows_reach_over_the_whole_text():
+    line = " ".join(f"{words(i, 40)} token=abcdef{i}" for i in range(40)).encode()
+    tokens, got = line.split(), [f for f, _, _ in (w[:3] for w in secrets.windows(line))]
+    last = secrets.token_features(tokens[-1], True)
+    assert any(last in part for part in got)

@@ -16,14 +16,14 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import by_batch, text_rows
+from tripflow.llm.common import Cache, by_batch, text_rows
 from tripflow.session import stage
 
 # The patterns of known kinds, in their order; the length that a match must reach.
@@ -35,7 +35,7 @@ KINDS = ("assign", "access", "hex", "crf")
 
 #: The fit's bounds: documents looked at for matches, and of those learned from with and as many without one.
 LOOK_ROWS = 65_536
-FIT_ROWS = 1_000
+FIT_ROWS = 2_000
 SHARDS = 4
 EPOCHS = 8
 HASHED = 1 << 12
@@ -51,8 +51,12 @@ _SHAPE = bytes(
     65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else 120 if c >= 128 else c if chr(c) in " \t\n\v\f\r=:\"'" else 46
     for c in range(256)
 )
-#: A token this long, with a digit, or whose letters name a secret is looked at itself; of others only the shape counts.
+#: Tokens up to this length give their own word, longer ones their start.
 LONG = 16
+#: Rows of tokens that a worker keeps; tokens longer than KEPT bytes are worked out each time.
+HELD_ROWS, KEPT = 300_000, 64
+#: Places of one text to learn from: of matches, and of other tokens with digits, spread over the text.
+MATCHES, NUMBERS = 8, 4
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32]] = True
 
@@ -67,10 +71,6 @@ def pattern_spans(text: bytes) -> list[tuple[str, int, int, int]]:
     return found + [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
 
 
-def is_plain(shape: bytes) -> bool:
-    return len(shape) < LONG and b"0" not in shape
-
-
 def shape_features(shape: bytes) -> list[bytes]:
     core = shape.strip(b".=:\"'")
     n = max(min(len(core), 64), 1)
@@ -82,23 +82,34 @@ def shape_features(shape: bytes) -> list[bytes]:
         b"kinds%d%d%d" % (digits > 0, upper > 0, lower > 0),
         b"digits%d" % (5 * min(digits, n) // n),
         b"changes%d" % (min(16, sum(a != b for a, b in zip(core[:64], core[1:65]))) // 2),
-        b"last" + shape[-1:],
         b"assigns%d" % (b"=" in shape or b":" in shape),
     ]
 
 
+def _hashed(part: bytes) -> int:
+    return zlib.crc32(part) % HASHED
+
+
+_OF_SHAPE = Cache(lambda shape: [_hashed(p) for p in shape_features(shape)], 100_000)
+_DISTINCT = [_hashed(b"distinct%d" % i) for i in range(64 // 4 + 1)]
+_NAMES = _hashed(b"names a secret")
+
+
 def token_features(token: bytes, weak: bool) -> list[int]:
-    """Hashed features of one token: its shape, and for tokens that are not plain words their characters and wording."""
+    """Hashed features of one token: its shape, its characters and its wording."""
     shape = token.translate(_SHAPE)
-    parts = shape_features(shape)
-    if weak or not is_plain(shape):
-        core = token.strip(_EDGE)
-        parts.append(b"distinct%d" % (len(set(core[:64])) // 4))
-        if weak:
-            parts += [b"names a secret", b"word" + core[:LONG].lower()]
-        if len(core) >= LONG:
-            parts += [b"start" + core[:4], b"hex%d" % (not core[:64].strip(b"0123456789abcdefABCDEF"))]
-    return [zlib.crc32(p) % HASHED for p in parts]
+    core = token.strip(_EDGE)
+    own = _OF_SHAPE[shape] if len(shape) <= KEPT else [_hashed(p) for p in shape_features(shape)]
+    own = [*own, _DISTINCT[len(set(core[:64])) // 4], _hashed(b"last" + token[-1:])]
+    if weak:
+        own.append(_NAMES)
+    if weak or len(core) <= LONG:
+        own.append(_hashed(b"word" + core[:LONG].lower()))
+    if len(core) >= LONG:
+        own += [_hashed(b"start" + core[:4]), _hashed(b"hex%d" % (not core[:64].strip(b"0123456789abcdefABCDEF")))]
+        head = core[:64].translate(_SHAPE)
+        own.append(_hashed(b"long%d%d" % (b"0" in head, (b"A" in head) + (b"a" in head))))
+    return own
 
 
 def weak_tokens(text: bytes, lowered: bytes) -> set[int]:
@@ -124,40 +135,39 @@ class Field:
         self.word = flat[: 9 * HASHED].reshape(self.SHAPES[0])
         self.file = flat[9 * HASHED : 9 * HASHED + 9].reshape(3, 3)
         self.step = flat[9 * HASHED + 9 :].reshape(3, 3)
+        self.flat_word = self.word.transpose(1, 0, 2).reshape(HASHED, 9)
         self._forget()
 
     def _forget(self) -> None:
-        self.rows: dict[tuple | bytes, int] = {}
+        self.rows: dict[bytes, int] = {}
         self.table, self.used = np.zeros((1024, 9)), 0
 
-    def _number(self, key: tuple | bytes, features: list[int]) -> int:
-        """The row of ``table`` with what a token adds to its own tag, to the one after and to the one before."""
-        at = self.rows[key] = self.used
-        self.used += 1
-        if at == len(self.table):
+    def _number(self, new: list[bytes]) -> None:
+        """Rows of ``table`` for tokens without one: what a token adds to its own tag, to the one after and to the one before."""
+        features = [token_features(t, bool(_WEAK.search(t.lower()))) for t in new]
+        while self.used + len(new) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self.word[:, features, :].sum(1).ravel()
+        starts = np.cumsum([0, *map(len, features[:-1])])
+        self.table[self.used : self.used + len(new)] = np.add.reduceat(self.flat_word[list(chain.from_iterable(features))], starts)
+        self.rows.update(zip(new, range(self.used, self.used + len(new))))
+        self.used += len(new)
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        """The rows of ``table`` that hold ``tokens``; those of earlier calls may be gone."""
+        if self.used > HELD_ROWS:
+            self._forget()
+        rows = self.rows
+        new = list(set(tokens).difference(rows))
+        if new:
+            self._number(new)
+        at = np.fromiter(map(rows.__getitem__, tokens), np.int64, len(tokens))
+        for token in new:
+            if len(token) > KEPT:
+                del rows[token]
         return at
 
-    def _of_shape(self, shape: bytes) -> int:
-        """The row of a plain shape; -1, also kept, for a shape whose tokens are looked at themselves."""
-        if is_plain(shape):
-            return self._number(shape, [zlib.crc32(p) % HASHED for p in shape_features(shape)])
-        if len(shape) < 64:
-            self.rows[shape] = -1
-        return -1
-
     def emissions(self, text: bytes, tokens: list[bytes]) -> np.ndarray:
-        if len(self.rows) > 200_000:
-            self._forget()
-        get, of_shape = self.rows.get, self._of_shape
-        shapes = text.translate(_SHAPE).split()
-        at = np.array([i if (i := get(s)) is not None else of_shape(s) for s in shapes])
-        weak = weak_tokens(text, text.lower())
-        for place in {*np.flatnonzero(at < 0).tolist(), *weak}:
-            key = tokens[place], place in weak
-            row = get(key)
-            at[place] = self._number(key, token_features(*key)) if row is None else row
+        at = self.numbers(tokens)  # may replace the table
         each = self.table[at]
         out = each[:, 0:3] + file_features(text, len(tokens)) @ self.file
         out[1:] += each[:-1, 3:6]
@@ -246,6 +256,12 @@ def find(text: bytes, field: Field | None) -> tuple[list, list]:
     return [s for s in placed if s[0] != "crf"], placed
 
 
+def spread(places: list[int], most: int) -> list[int]:
+    """At most ``most`` of ``places``, evenly over all of them."""
+    n = len(places)
+    return places if n <= most else [places[i * (n - 1) // (most - 1)] for i in range(most)]
+
+
 def windows(text: bytes) -> list[tuple[list[list[int]], np.ndarray, list[int]]]:
     """(token features, file features, tags) of the places to learn from: around matches and numbers, and the middle."""
     tokens = text.split()
@@ -259,11 +275,11 @@ def windows(text: bytes) -> list[tuple[list[list[int]], np.ndarray, list[int]]]:
         tags[first + 1 : last + 1] = I
     digit = re.compile(rb"[0-9]")
     marked = np.flatnonzero(tags).tolist()
-    plain = [i for i, t in enumerate(tokens) if not tags[i] and len(t) > 5 and digit.search(t)][:4]
+    plain = [i for i, t in enumerate(tokens) if not tags[i] and len(t) > 5 and digit.search(t)]
     whole = file_features(text, len(tokens))
     weak = weak_tokens(text, text.lower())
     out, covered = [], -1
-    for at in sorted({*marked[:8], *plain, len(tokens) // 2}):
+    for at in sorted({*spread(marked, MATCHES), *spread(plain, NUMBERS), len(tokens) // 2}):
         if at > covered:
             first, covered = max(0, at - AROUND), min(len(tokens), at + AROUND)
             out.append(([token_features(tokens[i], i in weak) for i in range(first, covered)], whole, tags[first:covered].tolist()))
