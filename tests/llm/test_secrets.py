@@ -151,3 +151,14 @@ def test_windows_reach_over_the_whole_text():
     tokens, got = line.split(), [f for f, _, _ in (w[:3] for w in secrets.windows(line))]
     last = secrets.token_features(tokens[-1], True)
     assert any(last in part for part in got)
+
+
+def test_a_field_span_that_reaches_beyond_a_pattern_stays(spark):
+    line = 'say password = "hunter2!Secret$99" and token = "abcdef012345" end'
+    samples = [w for text, *_ in [(line.encode(),)] * 30 for w in secrets.windows(text)]
+    field = secrets.Field(secrets.learn(np.zeros(secrets.Field.SIZE), samples))
+    base, spans = secrets.find(line.encode(), field)
+    assert [line[a:b] for _, a, b in base] == ['password = "hunter2', 'token = "abcdef012345']
+    assert [line[a:b] for k, a, b in spans if k == "crf"] == ["hunter2!Secret$99"]
+    (got,) = secrets.redact(make(spark, [(1, line, "a")]), field).collect()
+    assert got.text == 'say [SECRET]" and [SECRET]" end'

@@ -234,14 +234,24 @@ def field_spans(text: bytes, field: Field) -> list[tuple[str, int, int, int]]:
     return spans
 
 
+def contained(span: tuple, base: list[tuple]) -> bool:
+    """Whether the spans of ``base`` together hold every byte of ``span``."""
+    at = span[1]
+    for _, begin, end, _ in sorted((b for b in base if b[2] > span[1] and b[1] < span[2]), key=lambda b: b[1]):
+        if begin > at:
+            return False
+        at = max(at, end)
+    return at >= span[2]
+
+
 def find(text: bytes, field: Field | None) -> tuple[list, list]:
     """(pattern spans, all spans) as (kind, begin, end) in code points, by begin and then kind.
 
-    A span of the field that lies in a pattern span, or equals one without its quotes, adds nothing.
+    A span of the field that pattern spans contain wholly adds nothing; one that reaches beyond them stays beside them.
     """
     base = pattern_spans(text)
     more = field_spans(text, field) if field else []
-    more = [m for m in more if not any(b[1] <= m[1] < b[2] or m[1] <= b[1] < m[2] for b in base)]
+    more = [m for m in more if not contained(m, base)]
     order = {kind: i for i, kind in enumerate(KINDS)}
     spans = sorted(base + more, key=lambda s: (s[1], order[s[0]], s[2]))
     if text.isascii():
