@@ -1,13 +1,16 @@
 """Secret scan: fixed patterns, and a linear-chain conditional random field that adds what they miss.
 
-Tokens are the words between white space. Each is tagged as outside (O), beginning (B) or inside (I)
-a secret from its shape, the shape and wording of both neighbours, and features of the whole file;
-the tags of a text are decoded together by Viterbi. No labelled secrets exist, so the field learns
-from where the patterns match, on a bounded sample of documents cut into windows, in SHARDS parts
-whose parameters are averaged (the likelihood is convex). Pattern spans always stay.
+Tokens are the words between white space, cut into pieces of one kind of character. Each piece is
+tagged as outside (O), beginning (B) or inside (I) a secret from the shape and wording of its word
+and of both neighbouring words, from itself and the pieces beside it in the word, and from features
+of the whole file; the tags of a text are decoded together by Viterbi, so a span may run over several
+words. No labelled secrets exist, so the field learns from where the patterns match, on a bounded
+sample drawn by smallest hash from all documents, cut into windows, in SHARDS parts whose parameters
+are averaged (the likelihood is convex). A match that stops inside a value is learned from up to the
+value's end. Pattern spans always stay.
 
 Defined results: a null or empty text has no spans; spans count code points and their ends are
-exclusive; without any pattern match in the sample only the patterns are used; repeated rows get
+exclusive; without any pattern match only the patterns are used; repeated rows get
 equal rows; other columns are ignored.
 """
 
@@ -16,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Callable
 from itertools import chain, groupby
 
 import numpy as np
@@ -33,8 +37,7 @@ HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 KINDS = ("assign", "access", "hex", "crf")
 
-#: The fit's bounds: documents looked at for matches, and of those learned from with and as many without one.
-LOOK_ROWS = 65_536
+#: The fit's bound: documents learned from with a match, and as many without one.
 FIT_ROWS = 2_000
 SHARDS = 4
 EPOCHS = 8
@@ -45,7 +48,14 @@ AROUND = 12
 FORBIDDEN = -1e4
 
 _WEAK = re.compile(rb"pass|pwd|secret|token|key|auth|cred|bearer|akia")
+#: Pieces: letters, digits, bytes of other characters, signs that values hold, any other signs.
+_PIECE = re.compile(rb"[A-Za-z]+|[0-9]+|[\x80-\xff]+|[+/_.=-]+|[^A-Za-z0-9\x80-\xff+/_.=\s-]+")
+#: What may follow a match inside the same value.
+_REST = re.compile(rb"""[^\s"'`,;&<>()\[\]{}|\\]*""")
+#: Further groups or lines of a quoted value: with a digit, or long.
+_GROUPS = re.compile(rb"(?:\s+(?=[A-Za-z+/_.=-]*[0-9]|[A-Za-z+/_.=-]{16})[A-Za-z0-9+/_.=-]+)*")
 _EDGE = b"\"'`,;:()[]{}<>!?#$%&*|\\"
+_QUOTES = b"\"'`,;:()[]{}<>|\\"
 #: Letters, digits and other characters by kind; white space and the signs of an assignment stay.
 _SHAPE = bytes(
     65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else 120 if c >= 128 else c if chr(c) in " \t\n\v\f\r=:\"'" else 46
@@ -57,6 +67,8 @@ LONG = 16
 HELD_ROWS, KEPT = 300_000, 64
 #: Places of one text to learn from: of matches, and of other tokens with digits, spread over the text.
 MATCHES, NUMBERS = 8, 4
+#: A window's pieces to each side of the place it is cut around.
+PIECES = 160
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32]] = True
 
@@ -71,6 +83,12 @@ def pattern_spans(text: bytes) -> list[tuple[str, int, int, int]]:
     return found + [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
 
 
+def has_match(text: bytes) -> bool:
+    if any(m.end(1) - m.start(1) >= ASSIGN_LENGTH for m in ASSIGN.finditer(text)) or HEX.search(text):
+        return True
+    return b"AKIA" in text and any(m.end() - m.start() >= ACCESS_LENGTH for m in ACCESS.finditer(text))
+
+
 def shape_features(shape: bytes) -> list[bytes]:
     core = shape.strip(b".=:\"'")
     n = max(min(len(core), 64), 1)
@@ -112,6 +130,24 @@ def token_features(token: bytes, weak: bool) -> list[int]:
     return own
 
 
+def piece_features(piece: bytes) -> list[int]:
+    """Hashed features of one piece: its kind of characters, length and wording."""
+    shape = piece[:64].translate(_SHAPE)
+    kinds = b"".join(k for k in (b"A", b"a", b"0", b"x") if k in shape) or b"sign" + piece[:4]
+    parts = [b"piece", b"piece of " + kinds, b"piece length%d" % min(len(piece), 24)]
+    if len(piece) <= LONG and piece.isalpha():
+        parts.append(b"piece " + piece.lower())
+    if _WEAK.search(piece.lower()):
+        parts.append(b"piece names a secret")
+    return [_hashed(p) for p in parts]
+
+
+def pieces_of(tokens: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The pieces of all ``tokens`` in order, and how many each has."""
+    cut = list(map(_PIECE.findall, tokens))
+    return list(chain.from_iterable(cut)), np.fromiter(map(len, cut), np.int64, len(cut))
+
+
 def weak_tokens(text: bytes, lowered: bytes) -> set[int]:
     """The numbers of the tokens whose letters name a secret."""
     found = [m.start() for m in _WEAK.finditer(lowered)]
@@ -124,61 +160,109 @@ def file_features(text: bytes, n: int) -> np.ndarray:
     return np.array([np.log1p(n) / 10, min(1.0, 20 * text.count(b"=") / n), min(1.0, 20 * text.count(b":") / n)])
 
 
-class Field:
-    """Weights by role (own, before, after), feature and tag; of the file by tag; of tag after tag."""
-
-    SHAPES = ((3, HASHED, 3), (3, 3), (3, 3))
-    SIZE = 9 * HASHED + 18
+class Rows:
+    """Sums of the weights of the features of words: of each its own tag, the one after and the one before, and ``lead``."""
 
-    def __init__(self, flat: np.ndarray):
-        self.flat = flat
-        self.word = flat[: 9 * HASHED].reshape(self.SHAPES[0])
-        self.file = flat[9 * HASHED : 9 * HASHED + 9].reshape(3, 3)
-        self.step = flat[9 * HASHED + 9 :].reshape(3, 3)
-        self.flat_word = self.word.transpose(1, 0, 2).reshape(HASHED, 9)
+    def __init__(self, by_feature: np.ndarray, features: Callable[[bytes], list[int]], lead: Callable | None = None):
+        self.by_feature, self.features, self.lead = by_feature, features, lead
         self._forget()
 
     def _forget(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.table, self.used = np.zeros((1024, 9)), 0
+        self.table, self.used = np.zeros((1024, 10)), 0
 
     def _number(self, new: list[bytes]) -> None:
-        """Rows of ``table`` for tokens without one: what a token adds to its own tag, to the one after and to the one before."""
-        features = [token_features(t, bool(_WEAK.search(t.lower()))) for t in new]
-        while self.used + len(new) > len(self.table):
+        features = list(map(self.features, new))
+        before, self.used = self.used, self.used + len(new)
+        while self.used > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         starts = np.cumsum([0, *map(len, features[:-1])])
-        self.table[self.used : self.used + len(new)] = np.add.reduceat(self.flat_word[list(chain.from_iterable(features))], starts)
-        self.rows.update(zip(new, range(self.used, self.used + len(new))))
-        self.used += len(new)
+        self.table[before : self.used, :9] = np.add.reduceat(self.by_feature[list(chain.from_iterable(features))], starts)
+        if self.lead:
+            self.table[before : self.used, 9] = self.lead(new)
+        self.rows.update(zip(new, range(before, self.used)))
 
-    def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        """The rows of ``table`` that hold ``tokens``; those of earlier calls may be gone."""
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The rows of ``table`` that hold ``words``; those of earlier calls may be gone."""
         if self.used > HELD_ROWS:
             self._forget()
         rows = self.rows
-        new = list(set(tokens).difference(rows))
+        new = list(set(words).difference(rows))
         if new:
             self._number(new)
-        at = np.fromiter(map(rows.__getitem__, tokens), np.int64, len(tokens))
-        for token in new:
-            if len(token) > KEPT:
-                del rows[token]
+        at = np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
+        for word in new:
+            if len(word) > KEPT:
+                del rows[word]
         return at
 
+
+class Field:
+    """Weights by role (own, before, after), feature and tag; of the file by tag; of tag after tag."""
+
+    SHAPES = ((3, HASHED, 3), (3, 3), (3, 3))
+    SIZE = 9 * HASHED + 18
+
+    def __init__(self, flat: np.ndarray):
+        self.flat = flat
+        self.word = flat[: 9 * HASHED].reshape(self.SHAPES[0])
+        self.file = flat[9 * HASHED : 9 * HASHED + 9].reshape(3, 3)
+        self.step = flat[9 * HASHED + 9 :].reshape(3, 3)
+        by_feature = self.word.transpose(1, 0, 2).reshape(HASHED, 9)
+        self.pieces = Rows(by_feature, piece_features)
+        self.tokens = Rows(by_feature, lambda t: token_features(t, bool(_WEAK.search(t.lower()))), self._lead)
+
+    @property
+    def used(self) -> int:
+        return self.tokens.used
+
+    def within(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """What the pieces of ``tokens`` add to the tags of each piece, and how many pieces each token has."""
+        pieces, counts = pieces_of(tokens)
+        at = self.pieces.numbers(pieces)  # may replace the table
+        each = self.pieces.table[at]
+        out = each[:, 0:3].copy()
+        inner = np.ones(len(pieces), bool)
+        inner[np.cumsum(counts)[:-1]] = False  # a token's first piece has none before it
+        inner = inner[1:, None]
+        out[1:] += each[:-1, 3:6] * inner
+        out[:-1] += each[1:, 6:9] * inner
+        return out, counts
+
+    def _lead(self, tokens: list[bytes]) -> np.ndarray:
+        """By how much the pieces of each token raise another tag over O at most."""
+        own, counts = self.within(tokens)
+        return np.maximum.reduceat(own[:, 1:].max(1) - own[:, O], np.cumsum([0, *counts[:-1]]))
+
     def emissions(self, text: bytes, tokens: list[bytes]) -> np.ndarray:
-        at = self.numbers(tokens)  # may replace the table
-        each = self.table[at]
-        out = each[:, 0:3] + file_features(text, len(tokens)) @ self.file
+        return self._of_rows(text, self._rows_of(tokens))
+
+    def _rows_of(self, tokens: list[bytes]) -> np.ndarray:
+        at = self.tokens.numbers(tokens)  # may replace the table
+        return self.tokens.table[at]
+
+    def _of_rows(self, text: bytes, each: np.ndarray) -> np.ndarray:
+        out = each[:, 0:3] + file_features(text, len(each)) @ self.file
         out[1:] += each[:-1, 3:6]
         out[:-1] += each[1:, 6:9]
         return out
 
+    def piece_tags(self, text: bytes, tokens: list[bytes]) -> list[int]:
+        """The best tags of all pieces; none if every piece is outside."""
+        rows = self._rows_of(tokens)
+        words = self._of_rows(text, rows)
+        if self._outside((words[:, O] - words[:, 1:].max(1) - rows[:, 9]).min()):
+            return []
+        own, counts = self.within(tokens)
+        return self.tags(np.repeat(words, counts, 0) + own)
+
+    def _outside(self, margin: float) -> bool:
+        """Whether O everywhere is best: leaving it costs more than its transitions can bring."""
+        return margin > 2 * max(0.0, float(self.step.max() - self.step[O, O]))
+
     def tags(self, emissions: np.ndarray) -> list[int]:
         """The best tags by Viterbi; inside never follows outside."""
-        gain = max(0.0, float(self.step.max() - self.step[O, O]))
-        margin = emissions[:, O] - emissions[:, 1:].max(1)
-        if margin.min() > 2 * gain:  # then leaving O anywhere costs more than its transitions can bring
+        if self._outside((emissions[:, O] - emissions[:, 1:].max(1)).min()):
             return []
         step = self.step.copy()
         step[O, I] = FORBIDDEN
@@ -208,15 +292,32 @@ def places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(turn == -1), np.flatnonzero(turn == 1)
 
 
+def piece_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the pieces, in bytes."""
+    spans = np.array([m.span() for m in _PIECE.finditer(text)], np.int64).reshape(-1, 2)
+    return spans[:, 0], spans[:, 1]
+
+
+def value_end(text: bytes, end: int, secret: int) -> int:
+    """Where the value ends that a match from ``secret`` to ``end`` begins: at its quote, or before the punctuation after it."""
+    rest = _REST.match(text, end).end()
+    quote = text[secret - 1 : secret] if secret else b""
+    if quote and quote in b"\"'`":
+        for closed in (rest, _GROUPS.match(text, rest).end()):
+            if text[closed : closed + 1] == quote:
+                return closed
+    return end + len(text[end:rest].rstrip(_EDGE + b"."))
+
+
 def field_spans(text: bytes, field: Field) -> list[tuple[str, int, int, int]]:
     """Spans that the field tags, in bytes, without the punctuation around them."""
     tokens = text.split()
     if not tokens:
         return []
-    tags = field.tags(field.emissions(text, tokens))
+    tags = field.piece_tags(text, tokens)
     if not any(tags):
         return []
-    begins, ends = places(text)
+    begins, ends = piece_places(text)
     out: list[list[int]] = []
     for at, tag in enumerate(tags):
         if tag == B or tag == I and not out:
@@ -227,8 +328,8 @@ def field_spans(text: bytes, field: Field) -> list[tuple[str, int, int, int]]:
     for first, last in out:
         begin, end = int(begins[first]), int(ends[last])
         piece = text[begin:end]
-        begin += len(piece) - len(piece.lstrip(_EDGE))
-        end -= len(piece) - len(piece.rstrip(_EDGE))
+        begin += len(piece) - len(piece.lstrip(_QUOTES))
+        end -= len(piece) - len(piece.rstrip(_QUOTES))
         if begin < end:
             spans.append(("crf", begin, end, begin))
     return spans
@@ -272,27 +373,45 @@ def spread(places: list[int], most: int) -> list[int]:
     return places if n <= most else [places[i * (n - 1) // (most - 1)] for i in range(most)]
 
 
-def windows(text: bytes) -> list[tuple[list[list[int]], np.ndarray, list[int]]]:
-    """(token features, file features, tags) of the places to learn from: around matches and numbers, and the middle."""
+def windows(text: bytes) -> list[tuple]:
+    """Places to learn from, around matches, numbers and the middle, over the whole text.
+
+    Each is (token features, file features, tags of the pieces, features of the pieces, token of each piece).
+    """
     tokens = text.split()
     if not tokens:
         return []
-    begins, ends = places(text)
-    tags = np.zeros(len(tokens), np.int64)
+    begins, ends = piece_places(text)
+    pieces, counts = pieces_of(tokens)
+    firsts = np.cumsum([0, *counts])  # of each token
+    of = np.repeat(np.arange(len(tokens)), counts)
+    tags = np.zeros(len(pieces), np.int64)
     for _, _, end, secret in pattern_spans(text):
-        first, last = np.searchsorted(ends, secret, "right"), np.searchsorted(begins, end, "left") - 1
+        first, last = np.searchsorted(ends, secret, "right"), np.searchsorted(begins, value_end(text, end, secret), "left") - 1
         tags[first] = B if tags[first] == O else tags[first]
         tags[first + 1 : last + 1] = I
     digit = re.compile(rb"[0-9]")
-    marked = np.flatnonzero(tags).tolist()
-    plain = [i for i, t in enumerate(tokens) if not tags[i] and len(t) > 5 and digit.search(t)]
+    marked = np.flatnonzero(tags == B).tolist()
+    inside = np.maximum.reduceat(tags, firsts[:-1]) > 0
+    plain = [int(firsts[i]) for i, t in enumerate(tokens) if not inside[i] and len(t) > 5 and digit.search(t)]
     whole = file_features(text, len(tokens))
     weak = weak_tokens(text, text.lower())
-    out, covered = [], -1
-    for at in sorted({*spread(marked, MATCHES), *spread(plain, NUMBERS), len(tokens) // 2}):
-        if at > covered:
-            first, covered = max(0, at - AROUND), min(len(tokens), at + AROUND)
-            out.append(([token_features(tokens[i], i in weak) for i in range(first, covered)], whole, tags[first:covered].tolist()))
+    ranges: list[list[int]] = []
+    for at in sorted({*spread(marked, MATCHES), *spread(plain, NUMBERS), int(firsts[len(tokens) // 2])}):
+        low, high = max(0, of[at] - AROUND), min(len(tokens), of[at] + AROUND + 1)
+        first, end = max(int(firsts[low]), at - PIECES), min(int(firsts[high]), at + PIECES)
+        if ranges and first <= ranges[-1][1]:
+            ranges[-1][1] = max(end, ranges[-1][1])
+        else:
+            ranges.append([first, end])
+    out = []
+    for first, end in ranges:
+        while first < end and tags[first] == I:
+            first += 1  # a window never begins inside a secret
+        if first < end:
+            low, high = of[first], of[end - 1] + 1
+            own = [token_features(tokens[i], i in weak) for i in range(low, high)]
+            out.append((own, whole, tags[first:end].tolist(), [piece_features(p) for p in pieces[first:end]], of[first:end] - low))
     return out
 
 
@@ -302,12 +421,20 @@ def learn(start: np.ndarray, samples: list) -> np.ndarray:
     grown = np.full(Field.SIZE, 1e-2)
     own = Field(np.zeros(Field.SIZE))  # holds one gradient
     for _ in range(EPOCHS):
-        for tokens, whole, tags in samples:
+        for tokens, whole, tags, *split in samples:
             n = len(tags)
+            pieces, of = split or ([], np.arange(n))
             each = np.array([field.word[:, f, :].sum(1) for f in tokens])
             em = each[:, 0] + whole @ field.file
             em[1:] += each[:-1, 1]
             em[:-1] += each[1:, 2]
+            em = em[of]
+            within = of[1:] == of[:-1]
+            if pieces:
+                each = np.array([field.word[:, f, :].sum(1) for f in pieces])
+                em += each[:, 0]
+                em[1:] += each[:-1, 1] * within[:, None]
+                em[:-1] += each[1:, 2] * within[:, None]
             step = field.step.copy()
             step[O, I] = FORBIDDEN
             forward, backward = np.empty((n, 3)), np.zeros((n, 3))
@@ -320,11 +447,19 @@ def learn(start: np.ndarray, samples: list) -> np.ndarray:
             share = np.exp(forward + backward - total)
             share[np.arange(n), tags] -= 1
             own.flat[:] = 0
+            of_tokens = np.zeros((len(tokens), 3))
+            np.add.at(of_tokens, of, share)
             for t, f in enumerate(tokens):
+                own.word[0, f] += of_tokens[t]
+                if t + 1 < len(tokens):
+                    own.word[1, f] += of_tokens[t + 1]
+                if t:
+                    own.word[2, f] += of_tokens[t - 1]
+            for t, f in enumerate(pieces):
                 own.word[0, f] += share[t]
-                if t + 1 < n:
+                if t + 1 < n and within[t]:
                     own.word[1, f] += share[t + 1]
-                if t:
+                if t and within[t - 1]:
                     own.word[2, f] += share[t - 1]
             own.file += whole[:, None] * share.sum(0)
             for t in range(n - 1):
@@ -343,13 +478,11 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field | None:
     texts = text_rows(docs).select("text", F.xxhash64("text").alias("draw"))
 
     def marked(batch: dict) -> dict:
-        hit = [bool(pattern_spans(t)) for t in batch["text"]]
+        hit = [has_match(t) for t in batch["text"]]
         return {"draw": batch["draw"], "hit": hit}
 
-    # Hashes of texts are uniform, so a threshold on them draws about LOOK_ROWS texts, the same for every partitioning.
-    part = min(1.0, LOOK_ROWS / max(docs.count(), 1))
-    share = texts.where(F.pmod("draw", F.lit(1 << 20)) < part * (1 << 20))
-    drawn = stage(by_batch(share, marked, "draw long, hit boolean").distinct(), "secret-draws")
+    # Every text is looked at; those with the smallest hashes of each kind are the same for every partitioning.
+    drawn = stage(by_batch(texts, marked, "draw long, hit boolean").distinct(), "secret-draws")
     chosen = drawn.where("hit").orderBy("draw").limit(rows).union(drawn.where("NOT hit").orderBy("draw").limit(rows))
     return _fit_on(texts.join(F.broadcast(chosen), "draw").dropDuplicates(["draw"]))  # chosen has 2 * rows rows at most
 
@@ -360,7 +493,7 @@ def _fit_on(sample: DataFrame) -> Field | None:
     def one(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("draw")
         samples = [w for text in part["text"] for w in windows(text)]
-        hits = sum(any(tags) for _, _, tags in samples)
+        hits = sum(any(sample[2]) for sample in samples)
         flat = learn(np.zeros(Field.SIZE), samples) if hits else np.zeros(Field.SIZE)
         return pd.DataFrame({"hits": [hits], "flat": [flat.astype(np.float32).tobytes()]})
 
