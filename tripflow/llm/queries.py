@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.llm import bpe, brown, licenses, mixing, order_minhash, quality, secrets, simhash, topk, toxicity
+from tripflow.llm import bpe, brown, divergence, jaccard, licenses, mixing, order_minhash, quality, secrets, simhash, topk, toxicity, whitening
 from tripflow.llm.common import table
 
 
@@ -51,6 +51,18 @@ def op10_mixing_sainte_lague(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.components_of(table(spark, folder, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.joined(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -64,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_order_minhash,
         op9_secrets_crf,
         op10_mixing_sainte_lague,
+        op11_feast_whitening,
+        op12_source_divergence,
+        op13_jaccard_join,
     )
 }
 
@@ -86,4 +101,5 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_source_divergence": divergence.ORACLE_SQL,
 }
