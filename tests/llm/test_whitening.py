@@ -75,7 +75,7 @@ def expected_rows(vectors: list[tuple], wanted: int = 32):
     whole = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] + [1_000_000] * (width - len(v)) for _, v in kept]
     n = len(whole)
     sums = [sum(column) for column in zip(*whole)]
-    deviations = [sum((n * x - s) ** 2 for x, s in zip(row, sums)) for row in whole]
+    deviations = [d if d < 1 << 63 else None for d in (sum((n * x - s) ** 2 for x, s in zip(row, sums)) for row in whole)]
     centred = [[Fraction(n * x - s, n) for x, s in zip(row, sums)] for row in whole]
     matrix = np.array([[float(sum(r[i] * r[j] for r in centred) / n) for j in range(width)] for i in range(width)])
     return kept, n, deviations, np.array([[float(c) for c in r] for r in centred]), matrix

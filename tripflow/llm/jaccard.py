@@ -46,7 +46,10 @@ COUNTED = 1 << 18
 #: Hashes counted together; those seen fewer than REPEATED times among them are not handed on.
 CHUNK = 1 << 21
 REPEATED = 3
-BITS = 1024
+#: A set's parity bitmap has a bit for every two shingles, rounded up to a power of two, between these bounds.
+LEAST_BITS, MOST_BITS = 256, 1 << 15
+#: Sizes of one band differ by this factor at most.
+BAND = 1.5
 #: Up to so many sets (8 bytes each) are broadcast to pick the texts to check; more are joined by a shuffle.
 SENT = 1 << 20
 SLICE = 1 << 21
@@ -228,8 +231,9 @@ def _lists(values: list[np.ndarray], empty: list[bool] | None = None) -> pa.Arra
 
 
 def parity(found: np.ndarray) -> np.ndarray:
-    """BITS bits: whether an odd number of the shingles falls on each. A differing bit is a differing shingle."""
-    odd = np.bincount((found & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    """Whether an odd number of the shingles falls on each bit. A differing bit is a differing shingle."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(found) // 2).bit_length()))
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
@@ -337,16 +341,23 @@ def _least_shared(a: str, b: str, share: int) -> Column:
 def _postings(sets: DataFrame, share: int) -> DataFrame:
     """(list, id, n, pos, index, probe): every set under its first shingles, by band of size.
 
-    Sizes of linked sets lie in one band or in neighbouring ones, so the larger set probes its own band
-    and the smaller one is indexed in its own and the next.
+    The larger set of a pair probes its own band; the smaller one is indexed in its own and, where its
+    largest partner lies in the next, there too.
     """
-    n = F.col("n")
-    band = F.floor(F.log(n.cast("double")) / F.lit(float(np.log(100 / share)) * (1 + 1e-7)))
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size) / float(np.log(BAND)))
+
+    n = F.col("n").cast("double")
     index = F.col("pos") < F.expr(f"n - (({share} * 2 * n + {100 + share - 1}) div {100 + share}) + 1")
-    first = sets.select("id", "n", band.alias("band"), F.posexplode("first").alias("pos", "shingle"))
-    up = F.explode(F.when(index, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("up")
+    # A little beyond the largest partner, so that rounding loses no pair.
+    beyond = band(n * (100 / share * (1 + 1e-9))) > F.col("band")
+    first = sets.select("id", "n", band(n).alias("band"), F.posexplode("first").alias("pos", "shingle"))
+    up = F.explode(F.when(index & beyond, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("up")
     return first.select("id", "n", "band", "pos", "shingle", index.alias("index"), up).select(
-        F.xxhash64("shingle", F.col("band") + F.col("up")).alias("list"), "id", "n", "pos", "index", (F.col("up") == 0).alias("probe")
+        F.xxhash64("shingle", F.col("band") + F.col("up")).alias("list"),
+        *[F.col(c).cast("int") if c != "id" else F.col(c) for c in ("id", "n", "pos")],
+        "index",
+        (F.col("up") == 0).alias("probe"),
     )
 
 
@@ -371,11 +382,14 @@ def choose_boundary(sizes: dict[int, int], scanned: dict[int, int], share: int =
 
 
 def _near(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """``pairs`` (a, b and more) that their parity bitmaps do not rule out, with sizes and digests."""
+    """``pairs`` (a, b with a the smaller set) that their parity bitmaps do not rule out, with sizes and digests."""
     for end in ("a", "b"):
         own = sets.select(*[F.col(c).alias(f"{c}_{end}") for c in ("id", "n", "digest", "parity")])
         pairs = pairs.join(own, F.col(end) == F.col(f"id_{end}")).drop(f"id_{end}")
-    apart = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    words = F.size("parity_a")
+    halves = F.zip_with(F.slice("parity_b", 1, words), F.slice("parity_b", words + 1, words), lambda x, y: x.bitwiseXOR(y))
+    other = F.when(F.size("parity_b") > words, halves).otherwise(F.col("parity_b"))
+    apart = F.aggregate(F.zip_with("parity_a", other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     allowed = F.col("n_a") + F.col("n_b") - 2 * _least_shared("n_a", "n_b", share)
     return pairs.where(apart <= allowed).drop("parity_a", "parity_b")
 
@@ -384,10 +398,10 @@ def _checked(near: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     """(a, b) of the pairs whose sets share enough shingles."""
     ends = near.select(F.col("digest_a").alias("digest")).union(near.select(F.col("digest_b").alias("digest"))).distinct()
     found = shingles_of(texts, stage(ends, "digests"))
-    # Copies of a text bring the same set; one is kept in each task before anything is shuffled.
-    found = stage(found.groupBy("digest").agg(F.first("shingles").alias("shingles")), "shingles")
-    for end in ("a", "b"):
-        near = near.join(found.toDF(f"digest_{end}", f"shingles_{end}"), f"digest_{end}")
+    # Copies of a text bring the same set; one is kept in each task before anything is shuffled, once for both joins.
+    found = found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    for end in ("b", "a"):
+        near = near.join(found.toDF(f"digest_{end}", f"shingles_{end}").hint("merge"), f"digest_{end}")
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return near.where(shared >= _least_shared("n_a", "n_b", share)).select("a", "b")
 
@@ -405,16 +419,17 @@ def _crowded_pairs(crowd: DataFrame, share: int) -> DataFrame:
         on = (F.col("x.list") == F.col("y.list")) & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", share)
         return x.alias("x").join(y.alias("y"), on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
-    return met(index.where(~inside), probe).union(met(index.where(inside), probe.where(~inside))).distinct()
+    return met(index.where(~inside), probe).union(met(index.where(inside), probe.where(~inside)))
 
 
 def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int | None = None) -> DataFrame:
     """(a, b): ids of ``sets`` that link, enough of them to join every two linked sets in one component."""
     postings = _postings(sets, share)
-    hub = F.min(F.when(F.col("index"), F.struct("n", "id", "pos")))
-    lists = postings.groupBy("list").agg(hub.alias("hub"), F.count(F.lit(1)).alias("members"), F.count_if("probe").alias("probes"))
-    lists = stage(lists.where("members > 1 and probes > 0 and hub is not null").drop("probes"), "lists")
-    busy = stage(postings.join(lists, "list"), "busy-lists")
+    lists = postings.groupBy("list").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = stage(postings.join(lists, "list"), "shared-lists")
+    hub = F.min(F.when(F.col("index"), F.struct("n", "id", "pos"))).alias("hub")
+    hubs = met.groupBy("list").agg(hub, F.count_if("probe").alias("probes")).where("probes > 0 and hub is not null").drop("probes")
+    busy = stage(met.join(hubs, "list"), "busy-lists")
     if boundary is None:
         few = F.col("n") <= LISTED
         sizes = {r["n"]: r["c"] for r in sets.where(few).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
@@ -424,10 +439,10 @@ def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int |
 
     met = busy.where("probe").alias("y").where(_may_link("hub", "y", share))
     met = met.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-    near = stage(_near(met, sets, share), "near")
-    # First every set against the hub it shares most lists with.
-    best = stage(near.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")), "best")
-    made = _checked(near.join(best, ["a", "b"]), texts, share)
+    met = stage(met, "met")
+    # First every set against the one hub it shares most lists with.
+    best = stage(met.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")), "best")
+    made = _checked(stage(_near(best, sets, share), "near"), texts, share)
     if boundary:
         made = made.union(subset_links(sets, boundary, share))
     made = stage(made, "links")
@@ -439,11 +454,10 @@ def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int |
         return joined.withColumn(name, F.coalesce("_root", F.col(node))).drop("_node", "_root")
 
     # Then the other hubs, and the pairs away from hubs, as far as they would join two components.
-    other = rooted(rooted(near.join(best, ["a", "b"], "left_anti"), "a", "root_a"), "b", "root_b").where("root_a <> root_b")
+    other = rooted(rooted(met.join(best, ["a", "b"], "left_anti"), "a", "root_a"), "b", "root_b").where("root_a <> root_b")
     crowd = stage(rooted(rooted(busy.where("members > 2"), "id", "root"), "hub.id", "hub_root"), "crowd")
-    pairs = _near(_crowded_pairs(crowd, share), sets, share)
-    columns = ["a", "b", "n_a", "digest_a", "n_b", "digest_b"]
-    left = stage(other.select(*columns).union(pairs.select(*columns)).distinct(), "other-near")
+    pairs = other.select("a", "b").union(_crowded_pairs(crowd, share)).distinct()
+    left = stage(_near(pairs, sets, share), "other-near")
     if left.isEmpty():
         return made
     return stage(made.union(_checked(left, texts, share)), "links")
