@@ -42,12 +42,12 @@ SHARE = 90
 #: Subsets are worth counting for sets up to this size; beyond it each set would list tens of thousands.
 LISTED = 39
 #: Shingles whose global count orders the lists (12 bytes each are broadcast); all others count as rare.
-COUNTED = 1 << 18
+COUNTED = 1 << 19
 #: Hashes counted together; those seen fewer than REPEATED times among them are not handed on.
 CHUNK = 1 << 21
 REPEATED = 3
 #: A set's parity bitmap has a bit for every two shingles, rounded up to a power of two, between these bounds.
-LEAST_BITS, MOST_BITS = 256, 1 << 15
+LEAST_BITS, MOST_BITS = 512, 1 << 15
 #: Sizes of one band differ by this factor at most.
 BAND = 1.5
 #: Up to so many sets (8 bytes each) are broadcast to pick the texts to check; more are joined by a shuffle.
@@ -237,6 +237,11 @@ def parity(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def folded(bitmap: np.ndarray) -> np.ndarray:
+    """A bitmap laid over itself until it has LEAST_BITS: still a lower bound, and short enough to go with every posting."""
+    return np.bitwise_xor.reduce(bitmap.reshape(-1, LEAST_BITS // 64), 0)
+
+
 def described(texts: DataFrame, share: int = SHARE) -> DataFrame:
     """For every row of ``texts``: doc_id, size, digest, parity, its first shingles in the common order, and all if few."""
     spark = texts.sparkSession
@@ -245,13 +250,14 @@ def described(texts: DataFrame, share: int = SHARE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, counts = shared.value
         for batch in batches:
-            sets, first, bits = [], [], []
+            sets, first, bits, short = [], [], [], []
             for found in shingle_sets(batch.column("text")):
                 place = np.minimum(np.searchsorted(hot, found), max(0, len(hot) - 1))
                 count = np.where(hot[place] == found, counts[place], 0) if len(hot) else np.zeros(len(found), np.int32)
                 head = np.argsort(count, kind="stable")[: probed(len(found), share)] if len(found) else []
                 first.append(found[head])
                 bits.append(parity(found))
+                short.append(folded(bits[-1]))
                 sets.append((len(found), xxhash.xxh3_128_digest(found.tobytes()), found if len(found) <= LISTED else found[:0]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -259,13 +265,14 @@ def described(texts: DataFrame, share: int = SHARE) -> DataFrame:
                     pa.array([s[0] for s in sets], pa.int64()),
                     pa.array([s[1] for s in sets], pa.binary()),
                     _lists(bits),
+                    _lists(short),
                     _lists(first),
                     _lists([s[2] for s in sets], [s[0] > LISTED for s in sets]),
                 ],
-                ["doc_id", "n", "digest", "parity", "first", "whole"],
+                ["doc_id", "n", "digest", "parity", "short", "first", "whole"],
             )
 
-    schema = "doc_id long, n long, digest binary, parity array<long>, first array<long>, whole array<long>"
+    schema = "doc_id long, n long, digest binary, parity array<long>, short array<long>, first array<long>, whole array<long>"
     return texts.mapInArrow(run, schema)
 
 
@@ -362,14 +369,20 @@ def _postings(sets: DataFrame, share: int) -> DataFrame:
 
 
 def _may_link(x: str, y: str, share: int) -> Column:
-    """Whether an indexed posting ``x`` and a probing posting ``y`` of one list can belong to linked sets.
+    """Whether postings ``x`` and ``y`` of one list, of sets that are not the same, can belong to linked ones.
 
-    Order, sizes, and positions: before the shingle they share at most the shorter head, after it the
-    shorter rest.
+    Sizes, and positions: before the shingle they have in common sets share at most the shorter head,
+    after it the shorter rest.
     """
     bound = f"least({x}.pos, {y}.pos) + least({x}.n - {x}.pos, {y}.n - {y}.pos)"
     need = f"({share} * ({x}.n + {y}.n) + {100 + share - 1}) div {100 + share}"
-    return F.expr(f"({x}.n < {y}.n or ({x}.n = {y}.n and {x}.id < {y}.id)) and 100 * {x}.n >= {share} * {y}.n and {bound} >= {need}")
+    sizes = f"100 * least({x}.n, {y}.n) >= {share} * greatest({x}.n, {y}.n)"
+    return F.expr(f"{x}.id <> {y}.id and {sizes} and {bound} >= {need}")
+
+
+def _smaller(x: str, y: str) -> str:
+    """The order of sets in which the smaller of two is indexed and the larger probes."""
+    return f"({x}.n < {y}.n or ({x}.n = {y}.n and {x}.id < {y}.id))"
 
 
 def choose_boundary(sizes: dict[int, int], scanned: dict[int, int], share: int = SHARE) -> int:
@@ -382,14 +395,19 @@ def choose_boundary(sizes: dict[int, int], scanned: dict[int, int], share: int =
 
 
 def _near(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """``pairs`` (a, b with a the smaller set) that their parity bitmaps do not rule out, with sizes and digests."""
+    """``pairs`` (a, b and more) that their parity bitmaps do not rule out, with sizes and digests."""
     for end in ("a", "b"):
         own = sets.select(*[F.col(c).alias(f"{c}_{end}") for c in ("id", "n", "digest", "parity")])
         pairs = pairs.join(own, F.col(end) == F.col(f"id_{end}")).drop(f"id_{end}")
-    words = F.size("parity_a")
-    halves = F.zip_with(F.slice("parity_b", 1, words), F.slice("parity_b", words + 1, words), lambda x, y: x.bitwiseXOR(y))
-    other = F.when(F.size("parity_b") > words, halves).otherwise(F.col("parity_b"))
-    apart = F.aggregate(F.zip_with("parity_a", other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    words = F.least(F.size("parity_a"), F.size("parity_b"))
+
+    def fitted(bitmap: str) -> Column:
+        """The bitmap, or the longer of two laid over itself: sizes of linked sets differ by less than a factor of two."""
+        halves = F.zip_with(F.slice(bitmap, 1, words), F.slice(bitmap, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bitmap) > words, halves).otherwise(F.col(bitmap))
+
+    differ = F.zip_with(fitted("parity_a"), fitted("parity_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda x, y: x + y)
     allowed = F.col("n_a") + F.col("n_b") - 2 * _least_shared("n_a", "n_b", share)
     return pairs.where(apart <= allowed).drop("parity_a", "parity_b")
 
@@ -407,16 +425,22 @@ def _checked(near: DataFrame, texts: DataFrame, share: int) -> DataFrame:
 
 
 def _crowded_pairs(crowd: DataFrame, share: int) -> DataFrame:
-    """(a, b): pairs of one list that lie in different components, the hub's pairs apart.
+    """(a, b): pairs of one list that lie in different components and may link, the hub's pairs apart.
 
     Members of the hub's component need no check against one another, so one side of every pair is
-    outside of it.
+    outside of it. Folded bitmaps are compared inside the join, so it gives out few pairs however many
+    members a list has outside; a long list is split by Spark like any skewed key of a join.
     """
     inside = F.col("root") == F.col("hub_root")
-    index, probe = crowd.where(F.col("index") & (F.col("id") != F.col("hub.id"))), crowd.where("probe")
+    apart = crowd.where(F.col("id") != F.col("hub.id"))
+    index, probe = apart.where("index"), apart.where("probe")
+    words = range(LEAST_BITS // 64)
+    difference = " + ".join(f"bit_count(x.bits_{i} ^ y.bits_{i})" for i in words)
+    need = f"({share} * (x.n + y.n) + {100 + share - 1}) div {100 + share}"
 
     def met(x: DataFrame, y: DataFrame) -> DataFrame:
-        on = (F.col("x.list") == F.col("y.list")) & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y", share)
+        other = F.expr(f"x.root <> y.root and {_smaller('x', 'y')} and {difference} <= x.n + y.n - 2 * ({need})")
+        on = (F.col("x.list") == F.col("y.list")) & _may_link("x", "y", share) & other
         return x.alias("x").join(y.alias("y"), on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
     return met(index.where(~inside), probe).union(met(index.where(inside), probe.where(~inside)))
@@ -427,8 +451,10 @@ def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int |
     postings = _postings(sets, share)
     lists = postings.groupBy("list").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     met = stage(postings.join(lists, "list"), "shared-lists")
-    hub = F.min(F.when(F.col("index"), F.struct("n", "id", "pos"))).alias("hub")
-    hubs = met.groupBy("list").agg(hub, F.count_if("probe").alias("probes")).where("probes > 0 and hub is not null").drop("probes")
+    # The member that has the fewest rarer shingles: what the others are most likely copies of.
+    hub = F.min(F.struct("pos", "n", "id")).alias("hub")
+    kinds = [F.count_if("probe").alias("probes"), F.count_if("index").alias("indexed")]
+    hubs = met.groupBy("list").agg(hub, *kinds).where("probes > 0 and indexed > 0").drop("probes", "indexed")
     busy = stage(met.join(hubs, "list"), "busy-lists")
     if boundary is None:
         few = F.col("n") <= LISTED
@@ -437,7 +463,7 @@ def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int |
         boundary = choose_boundary(sizes, {r["n"]: r["c"] for r in scanned.collect()}, share)  # LISTED rows each
     busy = busy.withColumn("probe", F.col("probe") & (F.col("n") > boundary))
 
-    met = busy.where("probe").alias("y").where(_may_link("hub", "y", share))
+    met = busy.alias("y").where(_may_link("hub", "y", share) & F.expr(f"hub.n > {boundary} or y.n > {boundary}"))
     met = met.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     met = stage(met, "met")
     # First every set against the one hub it shares most lists with.
@@ -455,7 +481,9 @@ def links(sets: DataFrame, texts: DataFrame, share: int = SHARE, boundary: int |
 
     # Then the other hubs, and the pairs away from hubs, as far as they would join two components.
     other = rooted(rooted(met.join(best, ["a", "b"], "left_anti"), "a", "root_a"), "b", "root_b").where("root_a <> root_b")
-    crowd = stage(rooted(rooted(busy.where("members > 2"), "id", "root"), "hub.id", "hub_root"), "crowd")
+    crowd = rooted(rooted(busy.where("members > 2"), "id", "root"), "hub.id", "hub_root")
+    bits = [F.get("short", F.lit(i)).alias(f"bits_{i}") for i in range(LEAST_BITS // 64)]
+    crowd = stage(crowd.join(sets.select("id", *bits), "id"), "crowd")
     pairs = other.select("a", "b").union(_crowded_pairs(crowd, share)).distinct()
     left = stage(_near(pairs, sets, share), "other-near")
     if left.isEmpty():
@@ -467,7 +495,7 @@ def joined(docs: DataFrame, share: int = SHARE, boundary: int | None = None) ->
     """doc_id, n_shingles and component_id for every row of ``docs``; ``boundary`` overrides the chosen one."""
     texts = text_rows(docs)
     rows = stage(described(texts, share), "described")
-    one = [F.first(c).alias(c) for c in ("n", "parity", "first", "whole")]
+    one = [F.first(c).alias(c) for c in ("n", "parity", "short", "first", "whole")]
     sets = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("least"), *one)
     sets = stage(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
     roots = smallest_reachable(links(sets, texts, share, boundary))
