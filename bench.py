@@ -114,7 +114,7 @@ def main() -> None:
     timed("soft_checks", lambda: run(rules.soft_counts(good, ctx)), 3)
     quarantine = rules.quarantine_rows(bad, "month.parquet", MONTH, now)
     seeds = [wh.read(t) for t in warehouse.SEEDED]
-    fact_batch = stage(star.fact_rows(good, *seeds), "fact-batch")
+    fact_batch = raw.with_position(stage(star.fact_rows(good, *seeds), "fact-batch"))
     timed("prepare_fact_rows", lambda: run(star.fact_rows(good, *seeds)), 3)
 
     fresh = Warehouse(spark, f"{work}/fresh")
@@ -126,8 +126,8 @@ def main() -> None:
         warehouse.insert_dimension(fresh, "dim_location", star.location_rows(good), "location_key")
 
     timed("dims_upsert", dims)
-    timed("fact_insert", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True))
-    timed("fact_insert_replay", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True))
+    timed("fact_insert", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True, stored=fact_batch))
+    timed("fact_insert_replay", lambda: warehouse.insert_fact(fresh, fact_batch, unique=True, stored=fact_batch))
     timed("mart_refresh", lambda: refresh_mart(fresh, now), 3)
 
     fact, days, zones = wh.read("fact_trip"), wh.read("dim_date"), wh.read("dim_location")

@@ -27,26 +27,26 @@ def spark():
 def trip(**changes) -> dict:
     """A clean trip of January 2026; keyword arguments replace columns, also by their short names."""
     row = {
-        "VendorID": 2,
+        "VendorID": 6,
         "pickup": dt.datetime(2026, 1, 10, 8, 0),
         "dropoff": None,
-        "passenger_count": 1.0,
-        "trip_distance": 2.0,
-        "RatecodeID": 1.0,
-        "store_and_fwd_flag": "N",
-        "PULocationID": 132,
-        "DOLocationID": 236,
+        "passenger_count": 3.0,
+        "trip_distance": 3.7,
+        "RatecodeID": 5.0,
+        "store_and_fwd_flag": "Y",
+        "PULocationID": 57,
+        "DOLocationID": 190,
         "payment_type": 1,
-        "fare_amount": 12.0,
-        "extra": 0.0,
+        "fare_amount": 21.5,
+        "extra": 1.25,
         "mta_tax": 0.5,
-        "tip_amount": 2.0,
-        "tolls_amount": 0.0,
-        "improvement_surcharge": 1.0,
-        "total_amount": 18.0,
-        "congestion_surcharge": 2.5,
-        "Airport_fee": 0.0,
-        "cbd_congestion_fee": 0.0,
+        "tip_amount": 4.3,
+        "tolls_amount": 6.94,
+        "improvement_surcharge": 0.3,
+        "total_amount": 35.54,
+        "congestion_surcharge": 0.75,
+        "Airport_fee": 1.75,
+        "cbd_congestion_fee": 0.05,
     }
     ride = changes.pop("ride", dt.timedelta(minutes=20))
     unknown = set(changes) - set(row)
@@ -65,9 +65,9 @@ def hours(n: int, **changes) -> list[dict]:
     return [
         trip(
             pickup=start + dt.timedelta(hours=i),
-            trip_distance=2.0 + i,
-            fare_amount=12.0 + i,
-            total_amount=18.0 + i,
+            trip_distance=3.7 + i,
+            fare_amount=21.5 + i,
+            total_amount=35.54 + i,
             **changes,
         )
         for i in range(n)

@@ -26,12 +26,12 @@ CASES = [
     (trip(pickup=dt.datetime(2025, 12, 31, 23, 50)), "pickup_outside_file_month"),
     (trip(pickup=dt.datetime(2026, 2, 1)), "pickup_outside_file_month"),
     (trip(pickup=dt.datetime(2026, 1, 31, 23, 59)), ""),
-    (trip(VendorID=99), "unknown_vendor"),
+    (trip(VendorID=31), "unknown_vendor"),
     (trip(VendorID=None), "unknown_vendor"),
-    (trip(payment_type=9), "unknown_payment_type"),
+    (trip(payment_type=17), "unknown_payment_type"),
     (trip(payment_type=0), ""),
     (trip(payment_type=None), ""),
-    (trip(RatecodeID=42.0), "unknown_rate_code"),
+    (trip(RatecodeID=8.0), "unknown_rate_code"),
     (trip(RatecodeID=None), ""),
     (trip(RatecodeID=99.0), ""),
     (trip(PULocationID=0), "location_id_out_of_range"),
@@ -42,7 +42,7 @@ CASES = [
     (trip(pickup=None, dropoff=dt.datetime(2026, 1, 10, 9)), "missing_pickup_datetime"),
     (trip(ride=dt.timedelta(0)), "dropoff_before_or_equal_pickup"),
     (trip(ride=dt.timedelta(minutes=-10)), "dropoff_before_or_equal_pickup"),
-    (trip(VendorID=99, PULocationID=999), "unknown_vendor,location_id_out_of_range"),
+    (trip(VendorID=31, PULocationID=999), "unknown_vendor,location_id_out_of_range"),
 ]
 
 
@@ -81,12 +81,12 @@ def test_zero_and_negative_zero_are_one_key(spark):
 
 def test_a_duplicate_counts_even_when_the_first_copy_was_rejected(spark):
     # The payment type is not part of the key.
-    assert reasons(spark, [trip(payment_type=9), trip(payment_type=1)]) == ["unknown_payment_type", "duplicate_in_batch"]
+    assert reasons(spark, [trip(payment_type=17), trip(payment_type=1)]) == ["unknown_payment_type", "duplicate_in_batch"]
 
 
 def test_reasons_are_counted_once_per_code(spark):
     ctx = rules.CheckContext(month=MONTH, now=NOW)
-    rows = [trip(VendorID=99, PULocationID=999), *hours(2)]
+    rows = [trip(VendorID=31, PULocationID=999), *hours(2)]
     judged = rules.judge(add_trip_id(raw_frame(spark, rows)), ctx)
     assert {r.code: r["rows"] for r in rules.count_reasons(judged).collect()} == {
         "unknown_vendor": 1,

@@ -7,6 +7,6 @@ __all__ = ["REGISTRY", "Query", "load_all"]
 
 def load_all() -> dict[str, Query]:
     """Import every module that registers queries."""
-    from tripflow.catalog import features, loading, marts, quality, reports, scans  # noqa: F401
+    from tripflow.catalog import features, loading, marts, quality, reports, scans, streams  # noqa: F401
 
     return REGISTRY

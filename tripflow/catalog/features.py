@@ -5,14 +5,14 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.catalog.oracle import FEATURE_COLUMNS, with_features, with_grid
 from tripflow.catalog.registry import Sample, query
 from tripflow.operators import compare, features as ft
 from tripflow.operators import forecast, snapshots
-from tripflow.plans.feature_build import write_results
+from tripflow.plans.feature_build import read_features, update_features, write_report, write_results
 from tripflow.sources.sample import EVENT_CONFIG
 
 CUTOFF = dt.datetime(2024, 1, 20, 12, 30)
@@ -143,6 +143,16 @@ def build_features(s: Sample) -> DataFrame:
     return ft.build_features(s.pickups, s.zones, EVENT_CONFIG)
 
 
+@query("incremental_features_o102", with_features(f"SELECT {FEATURE_COLUMNS} FROM features"))
+def incremental_features(s: Sample) -> DataFrame:
+    """Three weeks at once, then day after day, one of them twice: the full build's table."""
+    path, start = s.scratch("features-by-day"), EVENT_CONFIG.grid_start
+    steps = [(0, 20), (21, 26), (27, 27), (28, 28), (28, 28), (29, 29)]
+    for first, last in steps:
+        update_features(s.pickups, s.zones, EVENT_CONFIG, path, start + dt.timedelta(days=first), start + dt.timedelta(days=last))
+    return read_features(s.spark, path, s.features)
+
+
 _CHECKED = """SELECT CAST(forecast_date AS VARCHAR) AS check_day, count(*) AS rows_checked, {differing} AS differing_rows
   FROM features WHERE forecast_date IN (DATE '2024-01-17', DATE '2024-01-23', DATE '2024-01-28') GROUP BY 1"""
 
@@ -313,6 +323,26 @@ def verify_snapshot(s: Sample) -> DataFrame:
     return table.groupBy("zone_id").agg(F.sum("target_trips").alias("trips")).withColumn("change_detected", F.lit(detected))
 
 
+@query(
+    "changed_days_o105",
+    with_features(
+        """SELECT CAST(f.forecast_date AS VARCHAR) AS forecast_date, count(*) AS rows_recorded,
+             CASE WHEN f.forecast_date = DATE '2024-01-27' THEN 2 * count(*) ELSE count(*) END AS rows_found,
+             f.forecast_date IN (DATE '2024-01-27', DATE '2024-01-29') AS changed FROM features f GROUP BY f.forecast_date"""
+    ),
+)
+def changed_days(s: Sample) -> DataFrame:
+    """A snapshot with one day twice and one row of another day altered: both days are named."""
+    root, _ = _snapshot(s)
+    path = f"{root}/v2024-02-01/{snapshots.FEATURE_TABLE}"
+    table = s.features
+    one = table.where("forecast_date = '2024-01-29'").agg(F.min("zone_id")).first()[0]
+    altered = (F.col("forecast_date") == "2024-01-29") & (F.col("zone_id") == one) & (F.col("hour_of_day") == 5)
+    target = F.when(altered, F.col("target_trips") + 1).otherwise(F.col("target_trips"))
+    table.withColumn("target_trips", target).union(table.where("forecast_date = '2024-01-27'")).write.mode("overwrite").parquet(path)
+    return snapshots.compare_days(s.spark, root)
+
+
 @query("latest_version_o94", with_features("SELECT 'v2024-02-10' AS version, count(*) AS rows FROM features"))
 def latest_version(s: Sample) -> DataFrame:
     """The highest version that has a manifest; data without one does not count."""
@@ -391,3 +421,24 @@ def results_file(s: Sample) -> DataFrame:
     return s.spark.read.option("header", True).schema("baseline string, rows long, mae double, rmse double").csv(path)
 
 
+
+
+@query(
+    "results_report_o17",
+    f"""WITH scores AS ({_score_sql("validate")}),
+      lines AS (
+        SELECT 4 + row_number() OVER (ORDER BY mae, baseline) AS line_no,
+          printf('| %s | %d | %.3f | %.3f |', baseline, rows, mae, rmse) AS line FROM scores
+        UNION ALL SELECT * FROM (VALUES (1, '# Baselines on the validate split'), (2, ''), (3, '| baseline | rows | mae | rmse |'),
+          (4, '| --- | --- | --- | --- |')) head(line_no, line))
+      SELECT CAST(line_no AS INTEGER) AS line_no, line FROM lines""",
+)
+def results_report(s: Sample) -> DataFrame:
+    """The scores as a table to read, line by line."""
+    path = s.scratch("report")
+    formats = {"baseline": "%s", "rows": "%d", "mae": "%.3f", "rmse": "%.3f"}
+    write_report(_rounded(forecast.score(s.features, "validate")), path, "Baselines on the validate split", formats)
+    lines = s.spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "line"))
+    last = F.max("at").over(Window.partitionBy(F.lit(0)))
+    numbered = lines.select((F.col("at") + 1).alias("line_no"), "line", last.alias("last"))
+    return numbered.where((F.col("line_no") <= F.col("last")) | (F.col("line") != "")).select("line_no", "line")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripflow import schemas
 from tripflow.catalog.oracle import MART_COLUMNS, MONTH_RULE, judged, with_trips
 from tripflow.catalog.registry import Sample, query
-from tripflow.operators import freshness, ledger, reconcile, rules
+from tripflow.operators import freshness, layout, ledger, reconcile, rules
 from tripflow.plans.ingest import ingest_month
 from tripflow.plans.refresh import refresh_mart
 from tripflow.sources import warehouse
@@ -87,6 +87,35 @@ def fact_insert(s: Sample) -> DataFrame:
     )
 
 
+@query(
+    "filtered_insert_o50",
+    with_trips(
+        """SELECT strftime(pickup_datetime, '%Y-%m') AS trip_month, count(*) AS rows, count(*) AS keys,
+             count(*) FILTER (WHERE is_anomaly AND hour(pickup_datetime) < 12) AS rows_first,
+             count(*) FILTER (WHERE is_anomaly AND hour(pickup_datetime) >= 12) AS rows_second
+           FROM fact GROUP BY 1""",
+        "fact",
+    ),
+)
+def filtered_insert(s: Sample) -> DataFrame:
+    """The morning's flagged trips, then the other flagged ones (the months' key filters know none), then all trips (they know some)."""
+    wh = s.new_warehouse()
+    flagged, morning = s.fact.filter("is_anomaly"), F.hour("pickup_datetime") < 12
+    steps = [("first", flagged.filter(morning)), ("second", flagged.filter(~morning)), ("all", s.fact)]
+    for name, rows in steps:
+        warehouse.insert_fact(wh, rows.withColumn("passenger_count", F.lit(len(name)).cast("int")), check=False, unique=True)
+    return (
+        wh.read("fact_trip")
+        .groupBy("trip_month")
+        .agg(
+            _rows().alias("rows"),
+            F.count_distinct("trip_id").alias("keys"),
+            F.count_if(F.col("passenger_count") == 5).alias("rows_first"),
+            F.count_if(F.col("passenger_count") == 6).alias("rows_second"),
+        )
+    )
+
+
 @query(
     "dim_date_upsert_o09",
     with_trips("SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM dim_date", "dims"),
@@ -294,3 +323,75 @@ def freshness_states(s: Sample) -> DataFrame:
     both = fresh.withColumn("state", F.lit("after success")).unionByName(failed.withColumn("state", F.lit("after failure")))
     return both.select("state", "level", "message", "data_as_of")
 
+
+
+_SHOWN = f"(SELECT max(last_pickup_datetime) AS at, {_STAMP} AS stamp FROM mart)"
+
+
+@query(
+    "freshness_all_states_o101",
+    _one_month(
+        f"""SELECT 'missing' AS state, 'missing' AS level, 'mart_daily_zone_trips has not been published yet. Run the ingest pipeline.' AS message,
+              CAST(NULL AS TIMESTAMP) AS data_as_of
+            UNION ALL SELECT 'no run', 'stale', 'No pipeline run is recorded for this mart, so its freshness cannot be vouched for. '
+              || 'Showing data as of ' || stamp || '.', at FROM {_SHOWN}
+            UNION ALL SELECT 'success', 'fresh', 'Data as of ' || stamp || '. Refreshed by the pipeline at 2001-01-01 00:00.', at FROM {_SHOWN}
+            UNION ALL SELECT 'failed', 'stale', 'The latest refresh failed: ingest run 2 for 1998-06 at 2001-01-01 00:00 '
+              || '(FileNotFoundError: Raw file not found: /nowhere/yellow_tripdata_1998-06.parquet). '
+              || 'Showing data as of ' || stamp || ', last refreshed 2001-01-01 00:00.', at FROM {_SHOWN}
+            UNION ALL SELECT 'in progress', 'fresh', 'Data as of ' || stamp || '. Refreshed by the pipeline at 2001-01-01 00:00. '
+              || 'A refresh for 1998-07 is in progress.', at FROM {_SHOWN}
+            UNION ALL SELECT 'stuck', 'stale', 'Ingest run 3 for 1998-07 started 2001-01-01 01:00 and never finished. '
+              || 'Showing data as of ' || stamp || '.', at FROM {_SHOWN}"""
+    ),
+)
+def freshness_all_states(s: Sample) -> DataFrame:
+    """Every verdict a reader can get: before the first mart, without a run, and after each kind of run."""
+    loaded, _ = s.loaded
+    mart = loaded.read_mart()
+    started = SAMPLE_NOW + dt.timedelta(hours=1)
+    running = _ledger_after_failure(s)
+    failed = running.spark.read.schema(schemas.LEDGER).parquet(running.path(ledger.TABLE))
+    failed = freshness.freshness_of(mart, failed, SAMPLE_NOW)
+    ledger.start_run(running, "1998-07", started)
+    events = running.read(ledger.TABLE)
+    verdict = freshness.freshness(Warehouse(s.spark, s.scratch("warehouse")))
+    states = {
+        "no run": freshness.freshness_of(mart, events.limit(0), SAMPLE_NOW),
+        "success": freshness.freshness_of(mart, loaded.read(ledger.TABLE), SAMPLE_NOW),
+        "failed": failed,
+        "in progress": freshness.freshness_of(mart, events, started + dt.timedelta(hours=2)),
+        "stuck": freshness.freshness_of(mart, events, started + dt.timedelta(hours=2, minutes=1)),
+    }
+    none = s.spark.createDataFrame([("missing", verdict["level"], verdict["message"], None)], "state string, level string, message string, data_as_of timestamp_ntz")
+    for name, state in states.items():
+        none = none.unionByName(state.select(F.lit(name).alias("state"), "level", "message", "data_as_of"))
+    return none
+
+
+@query(
+    "clustered_layout_o108",
+    with_trips(
+        """SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, pickup_location_key, vendor_key, count(*) AS trips,
+             CAST(sum(total_amount) AS DOUBLE) AS revenue, TRUE AS zone_reads_less, TRUE AS vendor_reads_less
+           FROM fact GROUP BY 1, 2, 3""",
+        "fact",
+    ),
+)
+def clustered_layout(s: Sample) -> DataFrame:
+    """The fact rewritten in a curve over zone and vendor: same rows, and fewer blocks to read for one zone or one vendor."""
+    before, path = s.scratch("fact-as-it-comes"), s.scratch("fact-clustered")
+    # The sample's days are too small to have blocks; its years stand for days.
+    layout.write_in_blocks(layout.with_folder(s.fact, "year"), before, 200)
+    layout.write_clustered(s.fact, path, block_rows=200, tasks=4, unit="year")
+    less = {
+        column: layout.blocks_read(s.spark, path, column, 200).select(F.avg("read").alias("after"))
+        .crossJoin(layout.blocks_read(s.spark, before, column, 200).select(F.avg("read").alias("before")))
+        .select(F.col("after") < F.col("before")).first()[0]
+        for column in ("pickup_location_key", "vendor_key")
+    }
+    table = s.spark.read.parquet(path).groupBy(F.to_date("pickup_datetime").alias("pickup_day"), "pickup_location_key", "vendor_key")
+    return table.agg(_rows().alias("trips"), F.sum("total_amount").alias("revenue")).select(
+        "pickup_day", "pickup_location_key", "vendor_key", "trips", "revenue",
+        F.lit(less["pickup_location_key"]).alias("zone_reads_less"), F.lit(less["vendor_key"]).alias("vendor_reads_less"),
+    )

@@ -365,11 +365,21 @@ def unvalidated_sample(s: Sample) -> DataFrame:
     )
 
 
+# About a quarter of all keys.
+SAMPLE_BELOW = "4"
+
+
 @query(
     "trace_figure_o110",
     with_trips(
-        """SELECT 'raw' AS level, PULocationID AS zone, count(*) AS trips,
-             CAST(sum(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE) AS revenue FROM trips GROUP BY 2
+        f"""SELECT 'sample' AS level, PULocationID AS zone, count(*) AS trips,
+             CAST(sum(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE) AS revenue FROM judged WHERE trip_id < '{SAMPLE_BELOW}' GROUP BY 2
+           UNION ALL
+           SELECT 'sample rejected', PULocationID, count(*), CAST(sum(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE)
+           FROM judged WHERE trip_id < '{SAMPLE_BELOW}' AND reason_codes <> '' GROUP BY 2
+           UNION ALL
+           SELECT 'raw', PULocationID, count(*),
+             CAST(sum(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE) FROM trips GROUP BY 2
            UNION ALL
            SELECT 'accepted', PULocationID, count(*), CAST(sum(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE)
            FROM good GROUP BY 2
@@ -381,9 +391,17 @@ def unvalidated_sample(s: Sample) -> DataFrame:
     ),
 )
 def trace_figure(s: Sample) -> DataFrame:
-    """Trips and revenue of every zone at each level, side by side."""
+    """Trips and revenue of every zone at each level, side by side.
+
+    The extract of the keys below a bound is taken before validation, as any extract of the raw file
+    is; the rows of it that the load rejects explain what an accepted figure lacks.
+    """
+    extract = raw.extract_by_key(s.judged, SAMPLE_BELOW)
+    amounts = [F.col("PULocationID").alias("zone"), F.col("total_amount").alias("amount")]
     return reconcile.trace_by_zone(
         {
+            "sample": extract.select(*amounts),
+            "sample rejected": rules.rejected(extract).select(*amounts),
             "raw": s.raw.select(F.col("PULocationID").alias("zone"), F.col("total_amount").alias("amount")),
             "accepted": s.good.select(F.col("PULocationID").alias("zone"), F.col("total_amount").alias("amount")),
             "fact": s.fact.select(F.col("pickup_location_key").alias("zone"), F.col("total_amount").alias("amount")),

@@ -95,3 +95,17 @@ def first_per_key(df: DataFrame, key: str, position: str = POSITION) -> DataFram
     rest = [c for c in df.columns if c not in (key, position)]
     firsts = df.groupBy(key).agg(F.min_by(F.struct(*rest), position).alias("_row"), F.min(position).alias(position))
     return firsts.select(key, position, "_row.*").select(*df.columns)
+
+
+def first_rows(df: DataFrame, key: str, position: str = POSITION, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``first_per_key``, but only rows whose key may repeat are aggregated; all others pass as they are."""
+    digests = df.groupBy(F.xxhash64(key).alias("_digest")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    suspects = stage(digests.select("_digest"), "suspect-digests")
+    found = suspects.count()
+    if found == 0:
+        return df
+    if found > broadcast_keys:
+        return first_per_key(df, key, position)
+    marked, repeated = df.withColumn("_digest", F.xxhash64(key)), F.broadcast(suspects)
+    single = marked.join(repeated, "_digest", "left_anti").drop("_digest")
+    return single.unionByName(first_per_key(marked.join(repeated, "_digest", "left_semi").drop("_digest"), key, position))

@@ -91,6 +91,30 @@ def summarise(mart: DataFrame, by: list[str] | None = None) -> DataFrame:
     return grouped.agg(*_additive_sums()).select(*(by or []), *metrics_of_sums())
 
 
+def grain_sums(mart: DataFrame, grains: dict[str, list[str]]) -> DataFrame:
+    """The additive columns at several grains from one pass: ``grain``, every key column used, and the sums.
+
+    One shuffle of combined rows serves all grains. A key that a grain rolls up is NULL there; the name
+    of the grain, from ``grouping_id``, keeps a NULL zone apart from the total.
+    """
+    keys = list(dict.fromkeys(key for by in grains.values() for key in by))
+    # The bit of a key is set where the grain rolls it up; the first key has the highest.
+    ids = {sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in by): name for name, by in grains.items()}
+    types = {f.name: f.dataType for f in schemas.MART}
+    rolled = mart.groupingSets([[F.col(k) for k in by] for by in grains.values()], *keys).agg(
+        F.grouping_id().alias("_grain"), *[F.sum(c).cast(types[c]).alias(c) for c in schemas.ADDITIVE_COLUMNS]
+    )
+    name = F.element_at(F.create_map(*[F.lit(v) for pair in ids.items() for v in pair]), F.col("_grain").cast("int"))
+    return rolled.select(name.alias("grain"), *keys, *schemas.ADDITIVE_COLUMNS)
+
+
+def summarise_grains(mart: DataFrame, grains: dict[str, list[str]]) -> DataFrame:
+    """The metrics at several grains from one pass; a grain without rows has none, but the empty one of all rows has one."""
+    sums = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in schemas.ADDITIVE_COLUMNS]
+    keys = list(dict.fromkeys(key for by in grains.values() for key in by))
+    return grain_sums(mart, grains).select("grain", *keys, *sums).select("grain", *keys, *metrics_of_sums())
+
+
 def load_mart(mart: DataFrame) -> DataFrame:
     """The whole mart in presentation order."""
     return mart.orderBy("pickup_date", F.col("pickup_location_id").asc_nulls_last())
@@ -102,9 +126,12 @@ def with_zone(mart: DataFrame) -> DataFrame:
 
 def select_scope(mart: DataFrame, start: dt.date, end: dt.date, zone: int | None = None) -> DataFrame:
     """Rows of an inclusive date range, of one zone or of all."""
-    day = F.col("pickup_date")
-    view = mart.filter(day.between(F.lit(start), F.lit(end)))
-    return view if zone is None else view.filter(F.col("pickup_location_id") == zone)
+    return mart.filter(in_scope(start, end, zone))
+
+
+def in_scope(start: dt.date, end: dt.date, zone: int | None = None) -> Column:
+    inside = F.col("pickup_date").between(F.lit(start), F.lit(end))
+    return inside if zone is None else inside & (F.col("pickup_location_id") == zone)
 
 
 def top_zones(mart: DataFrame, k: int = 10, by: str = "total_revenue") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tripflow import schemas
 from tripflow.functions.calendar import month_bounds, ntz
 from tripflow.functions.keys import key_digest
-from tripflow.operators.dedup import DUPLICATE, first_per_key, flag_repeats
+from tripflow.operators.dedup import DUPLICATE, first_rows, flag_repeats
 from tripflow.sources.raw import POSITION
 
 # The default code sets, the zone id range, and the limits of the rules.
@@ -191,7 +191,7 @@ def rejected_log(judged: DataFrame) -> DataFrame:
 
 def quarantine_rows(rejected_rows: DataFrame, source_file: str, month: str, at: dt.datetime) -> DataFrame:
     """Raw columns, key, reasons and provenance; of several copies of a trip_id the first is kept."""
-    kept = first_per_key(rejected_rows.select(*schemas.RAW_COLUMNS, "trip_id", "reason_codes", POSITION), "trip_id")
+    kept = first_rows(rejected_rows.select(*schemas.RAW_COLUMNS, "trip_id", "reason_codes", POSITION), "trip_id")
     return kept.select(
         *schemas.RAW_COLUMNS,
         "trip_id",

@@ -72,8 +72,10 @@ def map_codes(df: DataFrame, vendor: DataFrame, payment: DataFrame, rate_code: D
     return out
 
 
-def fact_rows(df: DataFrame, vendor: DataFrame, payment: DataFrame, rate_code: DataFrame) -> DataFrame:
-    """Accepted raw rows shaped for the fact table, with the load casts applied.
+def fact_rows(
+    df: DataFrame, vendor: DataFrame, payment: DataFrame, rate_code: DataFrame, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Accepted raw rows shaped for the fact table, with the load casts applied, and the columns to ``keep``.
 
     Amounts become DECIMAL(10,2); the passenger count becomes an integer, halves to even.
     """
@@ -91,5 +93,6 @@ def fact_rows(df: DataFrame, vendor: DataFrame, payment: DataFrame, rate_code: D
         half_even_int(F.col("passenger_count")).alias("passenger_count"),
         *[money(F.col(c)).alias(c) for c in ("trip_distance", *schemas.FACT_AMOUNTS)],
         "is_anomaly",
+        *keep,
     )
-    return ready.select(*schemas.FACT_COLUMNS)
+    return ready.select(*schemas.FACT_COLUMNS, *keep)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow import schemas
@@ -16,29 +17,41 @@ from tripflow.sources import raw, warehouse
 from tripflow.sources.warehouse import Warehouse
 
 
-def judge_batch(batch: DataFrame, ctx: rules.CheckContext) -> DataFrame:
+def judge_batch(batch: DataFrame, ctx: rules.CheckContext, seen: Observation | None = None) -> DataFrame:
     """Key and judge a raw batch, staged once and split on disk into accepted and rejected rows.
 
     Every later step reads the staged table, pruned to its half and its columns, so keys are hashed
-    and duplicates found once per run, and a lost executor never re-runs them.
+    and duplicates found once per run, and a lost executor never re-runs them. ``seen`` observes the
+    run's counts while the table is written, see ``counts``.
     """
     judged = rules.judge(add_trip_id(batch), ctx)
     flagged = judged.withColumn("_accepted", F.col("reason_codes") == "")
+    if seen is not None:
+        flagged = flagged.observe(seen, *count_columns(ctx))
     return stage(flagged, "judged", partition_by=["_accepted"])
 
 
-def batch_counts(judged: DataFrame, ctx: rules.CheckContext) -> dict:
-    """All row counts of a run from one pass: totals, reasons, soft rules and missing values."""
+def count_columns(ctx: rules.CheckContext) -> list[Column]:
+    """All row counts of a run as aggregates over a judged batch: totals, reasons, soft rules and missing values."""
     codes = [rule.code for rule in rules.HARD_RULES]
     passed = F.col("_accepted")
-    row = judged.agg(
+    return [
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(passed).alias("rows_valid"),
         F.count_if(passed & F.col("is_anomaly")).alias("anomalies"),
         *[F.count_if(F.find_in_set(F.lit(c), F.col("reason_codes")) > 0).alias(f"hard:{c}") for c in codes],
         *[F.count_if(passed & rule.fails(ctx)).alias(f"soft:{rule.code}") for rule in rules.SOFT_RULES],
         *[F.count_if(F.col(c).isNull()).alias(f"null:{c}") for c in schemas.RAW_COLUMNS],
-    ).first().asDict()
+    ]
+
+
+def batch_counts(judged: DataFrame, ctx: rules.CheckContext) -> dict:
+    """The counts of a run from a pass of their own, for a batch that is judged and stored already."""
+    return counts(judged.agg(*count_columns(ctx)).first().asDict())
+
+
+def counts(row: dict) -> dict:
+    """The counts of a run, by name and group, from the values of ``count_columns``."""
 
     def group(prefix: str) -> dict[str, int]:
         return {k.removeprefix(prefix): n for k, n in row.items() if k.startswith(prefix)}
@@ -73,8 +86,9 @@ def load_month(
     vendor, payment, rate_code = (wh.read(t) for t in warehouse.SEEDED)
     ctx = rules.context_from_dims(vendor, payment, rate_code, month, now)
 
-    judged = judge_batch(batch, ctx)
-    summary = batch_counts(judged, ctx)
+    seen = Observation()
+    judged = judge_batch(batch, ctx, seen)
+    summary = counts(seen.get)
     good = judged.filter("_accepted")
     bad = judged.filter("NOT _accepted")
 
@@ -90,8 +104,12 @@ def load_month(
     warehouse.insert_dimension(wh, "dim_date", star.date_rows(good), "date_key")
     warehouse.insert_dimension(wh, "dim_location", star.location_rows(good), "location_key")
 
-    facts = star.fact_rows(good, vendor, payment, rate_code)
-    summary["rows_inserted"] = warehouse.insert_fact(wh, facts, unique=True)
+    # Accepted rows lie in the file's month, by rule, and in the judged table, whose places number them.
+    placed = raw.with_position(good.drop(raw.POSITION))
+    facts = star.fact_rows(placed, vendor, payment, rate_code, keep=(raw.POSITION,))
+    summary["rows_inserted"] = warehouse.insert_fact(
+        wh, facts, unique=True, stored=placed, months=[month], expected=summary["rows_valid"]
+    )
     summary["rows_skipped"] = summary["rows_valid"] - summary["rows_inserted"]
     summary["fact_trip_count"] = wh.read("fact_trip").count()
     summary["quarantine_trip_count"] = wh.read("quarantine_trip").count()
@@ -116,12 +134,23 @@ def ingest_month(
     is visible to readers of the mart.
     """
     wh = Warehouse(spark, warehouse_root)
+    return ingest_batch(wh, lambda: raw.read_month(spark, raw_dir, month, pattern), month, pattern.format(month=month), now, log_dir)
+
+
+def ingest_batch(
+    wh: Warehouse,
+    read: Callable[[], DataFrame],
+    month: str,
+    source_file: str,
+    now: dt.datetime | None = None,
+    log_dir: str | None = None,
+) -> dict:
+    """Load what ``read`` returns as one run of the ledger; a scan that fails is a failed run too."""
     run_id = ledger.start_run(wh, month, now)
     try:
-        batch = raw.read_month(spark, raw_dir, month, pattern)
-        with staging_scope(spark):
-            source = pattern.format(month=month)
-            summary = load_month(wh, batch, month, source, run_id, now or dt.datetime.now(), log_dir)
+        batch = read()
+        with staging_scope(wh.spark):
+            summary = load_month(wh, batch, month, source_file, run_id, now or dt.datetime.now(), log_dir)
     except Exception as exc:
         ledger.finish_run(wh, run_id, month, "failed", now, error=f"{type(exc).__name__}: {exc}")
         raise

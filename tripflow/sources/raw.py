@@ -64,21 +64,26 @@ def read_month(spark: SparkSession, raw_dir: str, month: str, pattern: str = MON
     path = f"{raw_dir}/{pattern.format(month=month)}"
     if not files.exists(spark, path):
         raise FileNotFoundError(f"Raw file not found: {path}")
-    return reduce(DataFrame.unionByName, [conform(with_position(scan), keep=(POSITION,)) for scan in _same_types(spark, path)])
+    return read_files(spark, [path])
 
 
-def _same_types(spark: SparkSession, path: str) -> list[DataFrame]:
-    """Scans of the files at ``path``, together all of them, each over files that store the same types.
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The raw rows of files or folders as delivered, with the position of every row."""
+    return reduce(DataFrame.unionByName, [conform(with_position(scan), keep=(POSITION,)) for scan in _same_types(spark, paths)])
+
+
+def _same_types(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Scans of the files at ``paths``, together all of them, each over files that store the same types.
 
     Footers are merged by a Spark job; only a delivery of mixed types looks at its files one by one.
     """
     try:
-        return [spark.read.option("mergeSchema", True).parquet(path)]
+        return [spark.read.option("mergeSchema", True).parquet(*paths)]
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
-    for file in sorted(spark.read.parquet(path).inputFiles()):
+    for file in sorted(spark.read.parquet(*paths).inputFiles()):
         groups.setdefault(spark.read.parquet(unquote(file)).schema.json(), []).append(unquote(file))
     return [spark.read.parquet(*group) for group in groups.values()]
 
@@ -115,6 +120,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.select(*schemas.RAW_COLUMNS).write.mode("ignore").option("header", True).csv(path)
 
 
+def extract_by_key(keyed: DataFrame, below: str) -> DataFrame:
+    """The rows whose trip_id sorts below a hexadecimal bound: keys are hashes, so this is a random extract that anyone can repeat."""
+    return keyed.filter(F.col("trip_id") < below)
+
+
 def random_sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
     """Exactly ``rows`` random rows (all of them when there are fewer).
 

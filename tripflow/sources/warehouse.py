@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow import schemas
 from tripflow.session import stage
-from tripflow.sources import files
+from tripflow.sources import files, keyfilter
 
 SEEDED = {
     "dim_vendor": schemas.vendor_seed,
@@ -64,22 +64,31 @@ class Warehouse:
             return self.spark.createDataFrame([], TABLES[table])
         return self.spark.read.schema(TABLES[table]).parquet(self.path(table)).select(*TABLES[table].fieldNames())
 
+    def parts(self, table: str, column: str, values: list[str | None]) -> list[str]:
+        """The partition folders of ``values`` that exist."""
+        folders = [f"{self.path(table)}/{column}={NO_VALUE if v is None else v}" for v in values]
+        return [f for f in folders if files.exists(self.spark, f)]
+
     def read_parts(self, table: str, column: str, values: list[str | None]) -> DataFrame:
         """The rows in the partition folders of ``values``; no other folder is listed."""
-        folders = [f"{self.path(table)}/{column}={NO_VALUE if v is None else v}" for v in values]
-        there = [f for f in folders if files.exists(self.spark, f)]
+        there = self.parts(table, column, values)
         if not there:
             return self.spark.createDataFrame([], TABLES[table])
         scan = self.spark.read.schema(TABLES[table]).option("basePath", self.path(table))
         return scan.parquet(*there).select(*TABLES[table].fieldNames())
 
-    def append(self, table: str, rows: DataFrame, partition_by: str | None = None) -> None:
+    def append(self, table: str, rows: DataFrame, partition_by: str | None = None) -> int:
+        """Append and return the rows written, as the write itself counts them."""
         names = TABLES[table].fieldNames()
         extra = [partition_by] if partition_by and partition_by not in names else []
-        writer = rows.select(*names, *extra).write.mode("append")
+        written = Observation()
+        writer = rows.select(*names, *extra).observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append")
         if partition_by:
             writer = writer.partitionBy(partition_by)
+        if table == "fact_trip":
+            writer = writer.option(keyfilter.PARQUET_BLOOM, True)
         writer.parquet(self.path(table))
+        return written.get.get("rows", 0)
 
     def ensure_seeds(self) -> None:
         """Create the three code dimensions once; a loaded warehouse keeps its own rows."""
@@ -130,12 +139,18 @@ def absent_rows_staged(rows: DataFrame, existing: DataFrame, key: str) -> DataFr
     batch goes through untouched), a small overlap is broadcast after its size is known, and only a
     large overlap pays for a shuffle of the wide rows.
     """
+    found = _absent(rows, existing, key)
+    return rows.filter(F.lit(False)) if found is None else found
+
+
+def _absent(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame | None:
+    """The rows to add; None where nothing is new, so that a replay writes nothing at all."""
     shared = stage(rows.select(key).join(existing.select(key), key, "left_semi"), "shared-keys")
     overlap = shared.count()
     if overlap == 0:
         return rows
     if overlap == rows.count():
-        return rows.filter(F.lit(False))  # a replay: nothing is new
+        return None
     if overlap <= BROADCAST_KEYS:
         shared = F.broadcast(shared)
     return rows.join(shared, key, "left_anti")
@@ -147,18 +162,15 @@ def one_per_key(rows: DataFrame, key: str, position: str | None = None) -> DataF
     Which of several copies is first cannot be told without a position (by default the scan's own, if
     the rows carry it), so repeats without one are refused.
     """
-    from tripflow.operators.dedup import first_per_key, suspect_rows
+    from tripflow.operators.dedup import first_rows
     from tripflow.sources.raw import POSITION
 
     position = position or POSITION
-    placed = position in rows.columns
-    if suspect_rows(rows, F.xxhash64(key)) is None:
-        return rows.drop(position)
-    if not placed:
-        if rows.groupBy(key).count().filter("count > 1").isEmpty():
-            return rows
-        raise ValueError(f"{key} repeats within the rows and no column {position} says which row is first")
-    return first_per_key(rows, key, position).drop(position)
+    if position in rows.columns:
+        return first_rows(rows, key, position).drop(position)
+    if rows.groupBy(key).count().filter("count > 1").isEmpty():
+        return rows
+    raise ValueError(f"{key} repeats within the rows and no column {position} says which row is first")
 
 
 def insert_dimension(wh: Warehouse, table: str, rows: DataFrame, key: str, position: str | None = None) -> None:
@@ -177,11 +189,16 @@ def insert_quarantine(wh: Warehouse, rows: DataFrame, unique: bool = False) -> i
 
     rows = rows if unique else one_per_key(rows, "trip_id")
     rows = rows.withColumn(PICKUP_MONTH, month_text(F.col("tpep_pickup_datetime")))
-    # One value per calendar month of the batch.
-    months = [r[0] for r in rows.select(PICKUP_MONTH).distinct().collect()]
-    fresh = stage(absent_rows_staged(rows, wh.read_parts("quarantine_trip", PICKUP_MONTH, months), "trip_id"), "quarantine-new")
-    wh.append("quarantine_trip", fresh, partition_by=PICKUP_MONTH)
-    return fresh.count()
+    if wh.exists("quarantine_trip"):
+        # Looked at three times, so it is made once; rejected rows are a small part of a batch.
+        rows = stage(rows, "quarantine-batch")
+        # One value per calendar month of the batch.
+        months = [r[0] for r in rows.select(PICKUP_MONTH).distinct().collect()]
+        if wh.parts("quarantine_trip", PICKUP_MONTH, months):
+            rows = _absent(rows, wh.read_parts("quarantine_trip", PICKUP_MONTH, months), "trip_id")
+            if rows is None:
+                return 0
+    return wh.append("quarantine_trip", rows, partition_by=PICKUP_MONTH)
 
 
 def _fact_keys() -> dict[str, tuple[str, str]]:
@@ -237,22 +254,43 @@ def with_surrogate_keys(wh: Warehouse, rows: DataFrame) -> DataFrame:
     """``rows``, written, with trip_key: consecutive numbers above every number given out before.
 
     The rows of each task are counted first, so a task's numbers begin where those of the tasks
-    before it end, however many rows or tasks there are. The range is recorded before any row is
-    loaded: a load that dies leaves a gap, never a number that is given twice.
+    before it end, however many rows or tasks there are. Rows that lie in a stored table already are
+    numbered without this write, see ``numbered_by_place``.
     """
     mono = F.monotonically_increasing_id()
     row = mono.bitwiseAND(F.lit((1 << _MONOTONIC_BITS) - 1).cast("long"))
     placed = stage(rows.select("*", F.spark_partition_id().alias("_task"), row.alias("_row")), "fact-batch")
     sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))  # one row for each task
-    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stage(sizes.select("_task", "_n", F.coalesce(before, F.lit(0)).alias("_before")), "task-offsets")
+    return _numbered(wh, placed, sizes, "_task", F.col("_row")).drop("_task", "_row")
+
+
+def numbered_by_place(wh: Warehouse, rows: DataFrame, stored: DataFrame, place: str) -> DataFrame:
+    """``rows`` with trip_key from their place (file, row) in the ``stored`` table they were made of.
+
+    A file's numbers begin where those of the files before it end. The scan gives the places and the
+    files' sizes, so nothing is written, shuffled or counted for a number; rows of the table that are
+    not among ``rows`` leave gaps.
+    """
+    file = F.col(f"{place}.file")
+    sizes = stored.groupBy(file.alias("_file")).agg((F.max(f"{place}.row") + 1).alias("_n"))  # one row for each file
+    return _numbered(wh, rows.withColumn("_file", file), sizes, "_file", F.col(f"{place}.row")).drop("_file", place)
+
+
+def _numbered(wh: Warehouse, rows: DataFrame, sizes: DataFrame, part: str, row: Column) -> DataFrame:
+    """trip_key = the next free number + the sizes of the parts before the row's own + ``row`` within it.
+
+    The range is recorded before any row is loaded: a load that dies leaves a gap, never a number that
+    is given twice.
+    """
+    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stage(sizes.select(part, "_n", F.coalesce(before, F.lit(0)).alias("_before")), "key-offsets")
     base, n = next_base(wh), offsets.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     if n:
         taken = wh.spark.createDataFrame([(base + n - 1,)], "last_key long").coalesce(1)
         taken.write.mode("append").parquet(wh.path(KEY_RANGES))
-    key = F.lit(base).cast("long") + F.col("_before") + F.col("_row")
-    # As many offsets as the load had tasks.
-    return placed.join(F.broadcast(offsets.drop("_n")), "_task").withColumn("trip_key", key).drop("_task", "_row", "_before")
+    key = F.lit(base).cast("long") + F.col("_before") + row
+    # As many offsets as the load had tasks, or the stored table files.
+    return rows.join(F.broadcast(offsets.drop("_n")), part).withColumn("trip_key", key).drop("_before")
 
 
 def next_base(wh: Warehouse) -> int:
@@ -264,31 +302,76 @@ def next_base(wh: Warehouse) -> int:
     return 1 if top is None else top + 1
 
 
-def insert_fact(wh: Warehouse, batch: DataFrame, check: bool = True, unique: bool = False) -> int:
+def insert_fact(
+    wh: Warehouse,
+    batch: DataFrame,
+    check: bool = True,
+    unique: bool = False,
+    stored: DataFrame | None = None,
+    months: list[str] | None = None,
+    expected: int | None = None,
+) -> int:
     """Insert-if-absent on trip_id; returns the rows added.
 
     trip_id covers the pickup time, so an equal trip_id lies in the same month: only the months of
     the batch are listed and read. The first version of a trip wins; a re-delivered one is skipped.
-    ``unique`` says that no trip_id repeats within the batch, as after the rules.
+    ``unique`` says that no trip_id repeats within the batch, as after the rules. ``stored`` is the
+    stored table the batch was made of, row by row; both carry the rows' places in it, which then
+    number them. ``months`` are the batch's months and ``expected`` is about its number of rows, where
+    they are known.
     """
     from tripflow.functions.calendar import month_text
+    from tripflow.sources.raw import POSITION
 
     if check:
         check_fact_keys(batch, {t: wh.read(t) for t in TABLES if t.startswith("dim_")})
-    batch = batch if unique else one_per_key(batch, "trip_id")
+    if not unique:
+        batch, stored = one_per_key(batch, "trip_id"), None
     batch = batch.withColumn("trip_month", month_text(F.col("pickup_datetime")))
-    # One value per calendar month of the batch.
-    months = [r[0] for r in batch.select("trip_month").distinct().collect()]
+    if months is None:
+        # One value per calendar month of the batch.
+        months = [r[0] for r in batch.select("trip_month").distinct().collect()]
     if not months:
         return 0
-    fresh = absent_rows_staged(batch, wh.read_parts("fact_trip", "trip_month", months), "trip_id")
+    fresh, filtered = _unknown_trips(wh, batch, months)
+    if fresh is None:
+        return 0
+    if filtered:
+        # Before the rows: see there.
+        keyfilter.add(wh, fresh, months, fresh.count() if expected is None else expected)
     if len(months) > 1:
         # A batch of many months: one task per month's share instead of every task writing every month.
         fresh = fresh.hint("rebalance", "trip_month")
+    if stored is None:
+        keyed = with_surrogate_keys(wh, fresh.drop(POSITION))
+    else:
+        keyed = numbered_by_place(wh, fresh, stored, POSITION)
     # Zone order inside each file lets row-group statistics skip by zone.
-    keyed = with_surrogate_keys(wh, fresh).sortWithinPartitions("trip_month", "pickup_location_key")
-    wh.append("fact_trip", keyed, partition_by="trip_month")
-    return keyed.count()
+    return wh.append("fact_trip", keyed.sortWithinPartitions("trip_month", "pickup_location_key"), partition_by="trip_month")
+
+
+def _unknown_trips(wh: Warehouse, batch: DataFrame, months: list[str]) -> tuple[DataFrame | None, bool]:
+    """The rows of ``batch`` (with trip_month) that the fact lacks, None if there are none; whether its months have key filters.
+
+    A month without rows is not looked at. Otherwise the months' key filters are asked first. A load
+    of new trips is done then, without reading a key of the fact; keys that may be known are looked
+    for, as long as they are few. A batch that is mostly known, as a replay, is compared key by key.
+    """
+    if not wh.parts("fact_trip", "trip_month", months):
+        return batch, True
+    existing = wh.read_parts("fact_trip", "trip_month", months)
+    if not keyfilter.covers(wh, months):
+        return _absent(batch, existing, "trip_id"), False
+    maybe = stage(keyfilter.maybe_known(wh, batch, months), "maybe-known")
+    count = maybe.count()
+    if count == 0:
+        return batch, True
+    if count > BROADCAST_KEYS or count * 2 > batch.count():
+        return _absent(batch, existing, "trip_id"), True
+    suspects = batch.select("trip_id", keyfilter.digest().alias("digest")).join(F.broadcast(maybe), "digest", "left_semi")
+    suspects = stage(suspects.select("trip_id"), "suspects")
+    known = stage(keyfilter.stored_among(suspects, existing, count), "known-trips")
+    return (batch if known.isEmpty() else batch.join(F.broadcast(known), "trip_id", "left_anti")), True
 
 
 def schema_of(table: str) -> T.StructType:
