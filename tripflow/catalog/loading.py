@@ -325,7 +325,7 @@ def freshness_states(s: Sample) -> DataFrame:
 
 
 
-_SHOWN = f"(SELECT max(last_pickup_datetime) AS at, {_STAMP} AS stamp FROM mart)"
+_SHOWN = f"(SELECT max(last_pickup_datetime) AS latest, {_STAMP} AS stamp FROM mart)"
 
 
 @query(
@@ -334,15 +334,15 @@ _SHOWN = f"(SELECT max(last_pickup_datetime) AS at, {_STAMP} AS stamp FROM mart)
         f"""SELECT 'missing' AS state, 'missing' AS level, 'mart_daily_zone_trips has not been published yet. Run the ingest pipeline.' AS message,
               CAST(NULL AS TIMESTAMP) AS data_as_of
             UNION ALL SELECT 'no run', 'stale', 'No pipeline run is recorded for this mart, so its freshness cannot be vouched for. '
-              || 'Showing data as of ' || stamp || '.', at FROM {_SHOWN}
-            UNION ALL SELECT 'success', 'fresh', 'Data as of ' || stamp || '. Refreshed by the pipeline at 2001-01-01 00:00.', at FROM {_SHOWN}
+              || 'Showing data as of ' || stamp || '.', latest FROM {_SHOWN}
+            UNION ALL SELECT 'success', 'fresh', 'Data as of ' || stamp || '. Refreshed by the pipeline at 2001-01-01 00:00.', latest FROM {_SHOWN}
             UNION ALL SELECT 'failed', 'stale', 'The latest refresh failed: ingest run 2 for 1998-06 at 2001-01-01 00:00 '
               || '(FileNotFoundError: Raw file not found: /nowhere/yellow_tripdata_1998-06.parquet). '
-              || 'Showing data as of ' || stamp || ', last refreshed 2001-01-01 00:00.', at FROM {_SHOWN}
+              || 'Showing data as of ' || stamp || ', last refreshed 2001-01-01 00:00.', latest FROM {_SHOWN}
             UNION ALL SELECT 'in progress', 'fresh', 'Data as of ' || stamp || '. Refreshed by the pipeline at 2001-01-01 00:00. '
-              || 'A refresh for 1998-07 is in progress.', at FROM {_SHOWN}
+              || 'A refresh for 1998-07 is in progress.', latest FROM {_SHOWN}
             UNION ALL SELECT 'stuck', 'stale', 'Ingest run 3 for 1998-07 started 2001-01-01 01:00 and never finished. '
-              || 'Showing data as of ' || stamp || '.', at FROM {_SHOWN}"""
+              || 'Showing data as of ' || stamp || '.', latest FROM {_SHOWN}"""
     ),
 )
 def freshness_all_states(s: Sample) -> DataFrame:

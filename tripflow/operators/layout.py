@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 FOLDER = "pickup_from"
 #: Bits of a zone and of a vendor key on the curve; higher bits of larger keys are cut off and cost order, not rows.
-ZONE_BITS, VENDOR_BITS = 9, 4
+ZONE_BITS, VENDOR_BITS = 9, 3
 BLOCK_ROWS = 1 << 20
 
 
+def bit_order() -> list[tuple[str, int]]:
+    """The bits of both keys from the curve's highest to its lowest: in turn, each key's own highest first."""
+    turns = [[(name, bits - 1 - i)] for i in range(max(ZONE_BITS, VENDOR_BITS)) for name, bits in (("zone", ZONE_BITS), ("vendor", VENDOR_BITS)) if i < bits]
+    return [bit for turn in turns for bit in turn]
+
+
 def curve(zone: Column, vendor: Column) -> Column:
-    """The place of (zone, vendor) on a Z-order curve: their bits in turn, the highest first. A missing key counts as 0.
+    """The place of (zone, vendor) on a Z-order curve. A missing key counts as 0.
 
-    Neighbours on the curve agree in the high bits of both, so a block of rows covers a small range of
-    zones and of vendors, and statistics of either column let a reader skip it.
+    Neighbours on the curve agree in the high bits of both, so a block of rows covers a part of the
+    zones and of the vendors, and statistics of either column let a reader skip it.
     """
+    values = {"zone": F.coalesce(zone.cast("long"), F.lit(0)), "vendor": F.coalesce(vendor.cast("long"), F.lit(0))}
     place = F.lit(0).cast("long")
-    for column, bits, other in ((zone, ZONE_BITS, VENDOR_BITS), (vendor, VENDOR_BITS, ZONE_BITS)):
-        value = F.coalesce(column.cast("long"), F.lit(0))
-        for i in range(bits):
-            # Above the shorter key's bits only the longer one's are left.
-            at = i + min(i, other) + (1 if bits > other and i < other else 0)
-            place = place.bitwiseOR(F.shiftleft(F.shiftright(value, i).bitwiseAND(F.lit(1)), at))
+    for name, i in bit_order():
+        place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(values[name], i).bitwiseAND(F.lit(1)))
     return place
 
 
