@@ -109,7 +109,7 @@ def grain_sums(mart: DataFrame, grains: dict[str, list[str]]) -> DataFrame:
 
 
 def summarise_grains(mart: DataFrame, grains: dict[str, list[str]]) -> DataFrame:
-    """The metrics at several grains from one pass; a grain without rows has none, but the empty one of all rows has one."""
+    """The metrics at several grains from one pass; a mart without rows gives none (``summarise`` gives its total a row)."""
     sums = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in schemas.ADDITIVE_COLUMNS]
     keys = list(dict.fromkeys(key for by in grains.values() for key in by))
     return grain_sums(mart, grains).select("grain", *keys, *sums).select("grain", *keys, *metrics_of_sums())
