@@ -65,3 +65,39 @@ def test_reading_stops_before_the_end_and_loses_nothing():
         bar = np.sort(scores[:, at])[-5]
         assert set(np.flatnonzero(scores[:, at] >= bar)) <= set(rows.tolist())
     assert np.median([len(rows) for rows in found]) < 400
+
+
+@pytest.mark.parametrize("large", [8e6, 9e6, 1e12])
+def test_large_components_are_exact_and_drop_no_row(spark, large):
+    rows = vectors(160, 4, 6)
+    draw = random.Random(7)
+    # One axis each for queries and candidates, so that no score leaves the longs: large times small, with close scores.
+    rows += [(1000 + 50 * i, [large + 1024 * i, 0.0, 0.25, 0.0]) for i in range(3)]
+    rows += [(2001 + i, [0.5 + draw.randrange(9) / 256, large, draw.randrange(9) / 256, 0.0]) for i in range(30)]
+    if large < 1e9:
+        rows += [(3001 + i, [large + 0.5 * i, 0.0, draw.randrange(9) / 256, 0.0]) for i in range(30)]
+        rows += [(4050, [large, large, 0.0, 0.0])]
+    else:
+        rows = [(i, v) for i, v in rows if i not in (1050, 1100)]
+    want = brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows])
+    assert got(spark, rows) == want and any(q == 1000 for q, *_ in want)
+
+
+def test_bounds_widened_by_rounding_lose_nothing():
+    draw = np.random.default_rng(3)
+    matrix = np.floor(draw.normal(0, 2.0**30, (900, 7)))
+    matrix[draw.integers(0, 900, 200)] = matrix[0] + draw.integers(0, 3, (200, 7))
+    queries = np.floor(draw.normal(0, 2.0**29, (12, 7)))
+    queries[0], queries[1] = 1e300, queries[1] * 2.0**40
+    lists = topk.Lists(matrix)
+    for at, rows in enumerate(lists.best(queries, 5)):
+        scores = [sum(int(a) * int(b) for a, b in zip(row, queries[at])) for row in matrix]
+        bar = sorted(scores)[-5]
+        assert {i for i, s in enumerate(scores) if s >= bar} <= set(rows.tolist())
+        assert lists.exact(rows, queries[at]).tolist() == [scores[i] for i in rows]
+
+
+def test_a_score_beyond_a_long_is_an_error():
+    lists = topk.Lists(np.array([[2.0**40, 1], [2.0**41, 0], [1, 1]]))
+    with pytest.raises(OverflowError):
+        topk.resolved(np.arange(3), lists, 50, np.array([2.0**40, 0]), np.arange(3), 2)

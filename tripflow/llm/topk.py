@@ -5,7 +5,9 @@ the end that raises its score: from the top where its own component is positive,
 where it is negative. After each round of reading, a vector's lower bound adds what was read of it
 and the least that the rest of each list holds; its upper bound adds the last value read from each
 list instead. Reading stops once the k-th lower bound is beyond the upper bound of every outsider;
-the scores of those that may still qualify are then resolved exactly.
+the scores of those that may still qualify are then resolved exactly. Where products of large
+components leave the whole numbers that a double holds, the bounds are widened by what rounding may
+have changed, and the scores are resolved in 64-bit or, beyond those, in Python's integers.
 
 Work goes in blocks: vectors are dealt into blocks of about BLOCK, each with its sorted lists, query
 vectors into blocks of about QUERIES, and every pair of blocks is a task's unit, so a unit's size is
@@ -15,7 +17,8 @@ keeps at least the k best of its block, a window over the kept rows of a query g
 Defined results: vectors that are null, empty, or hold a null or a non-finite component take no
 part; vectors of other lengths than the query's are no candidates; of ties the smaller vec_id is
 first; rows that repeat a vec_id are candidates one by one, but never of their own id; a null vec_id
-takes no part; no rows give no rows; other columns are ignored.
+takes no part; no rows give no rows; other columns are ignored. Finite components of any size take
+part; a score among the k best of a block of vectors that no long can hold stops the job with an error.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,15 +40,23 @@ BLOCK = 4096
 QUERIES = 512
 #: Shares of the lists that are read by the end of each round.
 DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 1.0)
+#: Sums of products whose absolute values stay below EXACT are exact in doubles with room for the bounds' few terms.
+EXACT = 2.0**50
+LONG = 2.0**62
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(vec_id, parts array<int>): floor(SCALE * component) of the vectors that take part."""
-    parts = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast("int"))
-    limit = float((1 << 31) // SCALE - 1)
-    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < limit))
+    """(vec_id, parts array<double>): floor(SCALE * component), a whole number, of the vectors that take part."""
+
+    def whole(x: Column) -> Column:
+        scaled = SCALE * x.cast("double")
+        # A double of 2**53 or more is a whole number already; SCALE is a power of two, so only infinity can go wrong.
+        beyond = F.raise_error(F.lit(f"a component times {SCALE} is no finite number")).cast("double")
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).when(F.abs(scaled) < float("inf"), scaled).otherwise(beyond)
+
+    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     kept = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & sound)
-    return kept.select(F.col("vec_id").cast("long").alias("vec_id"), parts.alias("parts"))
+    return kept.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", whole).alias("parts"))
 
 
 def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
@@ -56,7 +67,7 @@ def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
 
         def full(width: int) -> pa.RecordBatch:
             ids, parts = held.pop(width)
-            matrix = np.array(parts, np.int32)
+            matrix = np.array(parts, np.float64)
             return pa.RecordBatch.from_pydict(
                 {"width": pa.array([width], pa.int32()), "ids": [np.array(ids, np.int64).tobytes()], "matrix": [matrix.tobytes()]}
             )
@@ -82,19 +93,43 @@ class Lists:
     """The sorted lists of one block of vectors, read in layers of ranks."""
 
     def __init__(self, matrix: np.ndarray):
-        self.matrix = matrix.astype(np.float64)  # whole numbers below 2**53: products and sums are exact
+        self.matrix = matrix.astype(np.float64)  # whole numbers
+        self.largest = np.abs(self.matrix).max(0)
         n = len(matrix)
         order = np.argsort(-self.matrix, axis=0, kind="stable")
         self.from_top = np.empty_like(order)
         np.put_along_axis(self.from_top, order, np.arange(n)[:, None].repeat(matrix.shape[1], 1), 0)
         self.sorted = np.take_along_axis(self.matrix, order, 0)
 
+    def exact(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """The inner products of ``rows`` with the query, as whole numbers of a type that holds them."""
+        with np.errstate(over="ignore"):
+            reach = np.abs(query) @ self.largest  # no sum of products is larger
+        if reach < EXACT:
+            return (self.matrix[rows] @ query).astype(np.int64)
+        if reach < LONG and max(np.abs(query).max(), self.largest.max()) < LONG:
+            return self.matrix[rows].astype(np.int64) @ query.astype(np.int64)
+        wanted = [int(x) for x in query]
+        return np.array([sum(int(a) * b for a, b in zip(row, wanted)) for row in self.matrix[rows]] + [None], object)[:-1]
+
+    def slack(self, queries: np.ndarray) -> np.ndarray:
+        """What rounding may have changed of each query's bounds: nothing where all sums are exact."""
+        with np.errstate(over="ignore"):
+            reach = np.abs(queries) @ self.largest
+            return np.where(reach < EXACT, 0.0, reach * 16 * (queries.shape[1] + 8) * 2.0**-53)
+
     def best(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
         """For each query the rows that may be among its k best; all rows with the k-th score are kept."""
         matrix, n = self.matrix, len(self.matrix)
         out: list[np.ndarray] = [np.arange(n)] * len(queries)
         if n <= k:
             return out
+        slack = self.slack(queries)
+        kept = np.flatnonzero(slack < 2.0**1000)  # beyond that, bounds may be infinite: every row may qualify
+        if len(kept) < len(queries):
+            for at, rows in zip(kept, self.best(queries[kept], k) if len(kept) else []):
+                out[at] = rows
+            return out
         up, down = np.maximum(queries, 0).T, np.minimum(queries, 0).T
         read = np.zeros((n, len(queries)))  # what was read of a vector
         low_read, high_read = np.zeros_like(read), np.zeros_like(read)
@@ -116,7 +151,7 @@ class Lists:
             low = read[:, open_queries] + least[open_queries] - low_read[:, open_queries]
             high = read[:, open_queries] + (plus.T @ last_top + minus.T @ last_bottom) - high_read
             bar = np.partition(low, n - k, axis=0)[n - k]
-            may = high >= bar
+            may = high + 2 * slack[open_queries] >= bar
             few = may.sum(0) <= 8 * k
             done = few | (share == 1.0)
             for at in np.flatnonzero(done):
@@ -130,9 +165,14 @@ class Lists:
 def resolved(ids: np.ndarray, lists: Lists, query: int, vector: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
     """(query, vec_id, score) of the k best of ``rows`` other than the query's own id."""
     rows = rows[ids[rows] != query]
-    scores = (lists.matrix[rows] @ vector).astype(np.int64)
-    order = np.lexsort((ids[rows], -scores))[:k]
-    return [(query, int(ids[rows[i]]), int(scores[i])) for i in order]
+    scores, own = lists.exact(rows, vector), ids[rows]
+    if scores.dtype == object:
+        order = sorted(range(len(rows)), key=lambda i: (-scores[i], own[i]))[:k]
+        if any(abs(scores[i]) >> 63 for i in order):
+            raise OverflowError(f"the score of vec_id {query} with one of its best is no 64-bit number")
+    else:
+        order = np.lexsort((own, -scores))[:k]
+    return [(query, int(own[i]), int(scores[i])) for i in order]
 
 
 def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -150,9 +190,9 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
             for row in range(batch.num_rows):
                 width, ids, matrix, query_ids, queries = (batch.column(c)[row].as_py() for c in ("width", "ids", "matrix", "query_ids", "queries"))
                 if held[0] != ids or held[1] != matrix:
-                    held = ids, matrix, Lists(np.frombuffer(matrix, np.int32).reshape(-1, width))
+                    held = ids, matrix, Lists(np.frombuffer(matrix, np.float64).reshape(-1, width))
                 lists, own = held[2], np.frombuffer(ids, np.int64)
-                asked, wanted = np.frombuffer(query_ids, np.int64), np.frombuffer(queries, np.int32).reshape(-1, width).astype(np.float64)
+                asked, wanted = np.frombuffer(query_ids, np.int64), np.frombuffer(queries, np.float64).reshape(-1, width)
                 # A query may stand in the block itself, once for each row with its id.
                 twins = np.array([np.count_nonzero(own == q) for q in asked]) if len(asked) else np.zeros(0, int)
                 found = []
