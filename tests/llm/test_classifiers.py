@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -95,3 +96,53 @@ def test_proximal_weights_are_zero_within_the_bound():
     z, n = np.array([0.5, -toxicity.L1, 3.0, -5.0]), np.array([1.0, 4.0, 4.0, 4.0])
     weights = toxicity.weights_of(z, n)
     assert weights[0] == weights[1] == 0 and weights[2] < 0 < weights[3]
+
+
+def plain_ftrl(rows: list[set], labels: list[int]) -> dict[int, tuple[float, float]]:
+    """z and n of every coordinate, one row and one coordinate at a time."""
+    sums: dict[int, tuple[float, float]] = {}
+
+    def weight(key):
+        z, n = sums.get(key, (0.0, 0.0))
+        if abs(z) <= toxicity.L1:
+            return 0.0
+        return -(z - math.copysign(toxicity.L1, z)) / ((toxicity.BETA + math.sqrt(n)) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for row, label in zip(rows, labels):
+            weights = {key: weight(key) for key in row}
+            g = 1 / (1 + math.exp(-sum(weights.values()))) - label
+            for key, w in weights.items():
+                z, n = sums.get(key, (0.0, 0.0))
+                sums[key] = z + g - (math.sqrt(n + g * g) - math.sqrt(n)) / toxicity.ALPHA * w, n + g * g
+    return sums
+
+
+def learnable(docs, labels):
+    """(text, toxic) of the rows that may be learned from, in the fit's order."""
+    toxic = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 3 != 1}
+    return [(i, text.encode(), toxic[i]) for i, text in docs if i in toxic]
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_fit_is_the_mean_of_plain_ftrl_over_the_parts_with_rows(spark, shards):
+    docs, labels = corpus(90)
+    rows = learnable(docs, labels)
+    ids = spark.createDataFrame([(i,) for i, *_ in rows], "doc_id long").selectExpr("doc_id", f"pmod(xxhash64(doc_id, 'shard'), {shards}) AS part").collect()
+    part_of = {r.doc_id: r.part for r in ids}
+    parts = [[r for r in rows if part_of[r[0]] == part] for part in sorted(set(part_of.values()))]
+    sums = [plain_ftrl([set(toxicity.present(t).tolist()) for _, t, _ in part], [y for *_, y in part]) for part in parts]
+    want = {}
+    for key in set().union(*sums):
+        z, n = (sum(s.get(key, (0.0, 0.0))[i] for s in sums) / len(sums) for i in (0, 1))
+        if abs(z) > toxicity.L1 or key == toxicity.BIAS:
+            want[key] = float(toxicity.weights_of(np.array([z]), np.array([n]))[0])
+    keys, weights = toxicity.fit(make(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), shards=shards)
+    assert set(keys.tolist()) == set(want)
+    assert np.allclose(weights, [want[k] for k in keys.tolist()], atol=1e-9)
+
+
+def test_a_single_toxic_row_is_learned_from(spark):
+    """One row gives two coordinates that occur once; parts without rows take no share of the mean."""
+    keys, weights = toxicity.fit(make(spark, [(0, "vile rotten")]), spark.createDataFrame([(0, 1, 1)], "doc_id long, quality int, toxic int"))
+    assert len(keys) == 4 and (weights > 0).all()

@@ -3,9 +3,9 @@
 Inputs are the presence of hashed single words, neighbouring pairs and pairs with one or two words
 between; labels, language, source and id are never inputs. Every coordinate has its own rate, and
 the L1 term holds most weights at exactly zero. Up to FIT_ROWS labelled rows are fitted in SHARDS
-parts; the sums z and n of each coordinate are averaged over the parts by Spark, and only the
-nonzero weights, bounded by the bounded sample, are broadcast. Every row is scored over its whole
-text.
+parts; the sums z and n of each coordinate are averaged by Spark over the parts that had rows (z and
+n are 0 in a part without the coordinate), and only the nonzero weights, bounded by the bounded
+sample, are broadcast. Every row is scored over its whole text.
 
 Defined results: a null or empty text gets the score of the bias; without any labelled row every
 score is 0.5; repeated rows get equal scores; other columns are ignored.
@@ -63,13 +63,9 @@ def weights_of(z: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def learn(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(coordinate, z, n) after EPOCHS passes over the rows' present features, for coordinates seen more than once.
-
-    A coordinate that is seen once has |z| below L1 and stays at zero.
-    """
-    keys, counts = np.unique(np.concatenate(rows), return_counts=True)
-    keys = keys[counts > 1]
-    rows = [np.searchsorted(keys, r[np.isin(r, keys, assume_unique=True)]) for r in rows]
+    """(coordinate, z, n) of every present feature after EPOCHS passes over the rows."""
+    keys, places = np.unique(np.concatenate(rows), return_inverse=True)
+    rows = np.split(places, np.cumsum([len(r) for r in rows])[:-1])
     z, n = np.zeros(len(keys)), np.zeros(len(keys))
     for _ in range(EPOCHS):
         for at, label in zip(rows, labels):
@@ -82,23 +78,26 @@ def learn(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.nda
     return keys, z, n
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray] | None:
     """(coordinates ascending, nonzero weights), the bias first; None without labelled rows."""
     sample = labelled(docs, labels, "toxic", rows, fold("doc_id", 3) != 1)
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["doc_id", "text"])
         keys, z, n = learn([present(t) for t in part["text"]], part["label"].tolist())
-        used = (np.abs(z) > L1) | (keys == BIAS)
-        return pd.DataFrame({"key": keys[used].view(np.int64), "z": z[used], "n": n[used]})
+        return pd.DataFrame({"key": keys.view(np.int64), "z": z, "n": n})
 
     parts = sample.select("doc_id", "label", "text", shard.alias("shard")).groupBy("shard")
     sums = stage(parts.applyInPandas(one, "key long, z double, n double"), "toxicity-fit")
-    summed = sums.groupBy("key").agg((F.sum("z") / SHARDS).alias("z"), (F.sum("n") / SHARDS).alias("n"))
-    found = summed.where((F.abs("z") > L1) | (F.col("key") == BIAS)).collect()
-    if not found:
+    had = sums.where(F.col("key") == BIAS).count()  # every part with rows has the bias once
+    if not had:
         return None
+    # A mean beyond L1 needs a part beyond L1: only the coordinates of such a part are summed. All come from FIT_ROWS rows.
+    beyond = (F.abs("z") > L1) | (F.col("key") == BIAS)
+    candidates = sums.where(beyond).select("key").distinct()
+    summed = sums.join(F.broadcast(candidates), "key", "left_semi").groupBy("key").agg((F.sum("z") / had).alias("z"), (F.sum("n") / had).alias("n"))
+    found = summed.where(beyond).collect()
     keys = np.array([r["key"] for r in found], np.int64).view(np.uint64)
     weights = weights_of(np.array([r["z"] for r in found]), np.array([r["n"] for r in found]))
     order = np.argsort(keys)
