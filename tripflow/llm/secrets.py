@@ -25,6 +25,7 @@ from itertools import chain, groupby
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import Cache, by_batch, text_rows
@@ -36,6 +37,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 KINDS = ("assign", "access", "hex", "crf")
+NAMES = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
+HEX_LENGTH = 24
 
 #: The fit's bound: documents learned from with a match, and as many without one.
 FIT_ROWS = 2_000
@@ -48,8 +51,10 @@ AROUND = 12
 FORBIDDEN = -1e4
 
 _WEAK = re.compile(rb"pass|pwd|secret|token|key|auth|cred|bearer|akia")
-#: Pieces: letters, digits, bytes of other characters, signs that values hold, any other signs.
-_PIECE = re.compile(rb"[A-Za-z]+|[0-9]+|[\x80-\xff]+|[+/_.=-]+|[^A-Za-z0-9\x80-\xff+/_.=\s-]+")
+#: Pieces: letters, digits, bytes of other characters, signs that values hold, quotes and brackets one by one, any other signs.
+_PIECE = re.compile(
+    rb"""[A-Za-z]+|[0-9]+|[\x80-\xff]+|[+/_.=-]+|["'`,;:()\[\]{}<>|\\]|[^A-Za-z0-9\x80-\xff+/_.=\s"'`,;:()\[\]{}<>|\\-]+"""
+)
 #: What may follow a match inside the same value.
 _REST = re.compile(rb"""[^\s"'`,;&<>()\[\]{}|\\]*""")
 #: Further groups or lines of a quoted value: with a digit, or long.
@@ -73,20 +78,25 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32]] = True
 
 
+#: Digits of HEX as ``h``, all else blank: a run of them is found as a fixed text, long before an expression tries each place.
+_HEX_RUNS = bytes(104 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
+
+
 def pattern_spans(text: bytes) -> list[tuple[str, int, int, int]]:
     """(kind, begin, end, begin of the secret itself) in bytes, per kind leftmost and without overlap."""
-    found = [
-        ("assign", m.start(), m.end(), m.start(1)) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= ASSIGN_LENGTH
-    ]
+    found = []
+    lowered = text.lower()
+    if any(name in lowered for name in NAMES):
+        found += [("assign", m.start(), m.end(), m.start(1)) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= ASSIGN_LENGTH]
     if b"AKIA" in text:
         found += [("access", m.start(), m.end(), m.start()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LENGTH]
-    return found + [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
+    if b"h" * HEX_LENGTH in text.translate(_HEX_RUNS):
+        found += [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
+    return found
 
 
 def has_match(text: bytes) -> bool:
-    if any(m.end(1) - m.start(1) >= ASSIGN_LENGTH for m in ASSIGN.finditer(text)) or HEX.search(text):
-        return True
-    return b"AKIA" in text and any(m.end() - m.start() >= ACCESS_LENGTH for m in ACCESS.finditer(text))
+    return bool(pattern_spans(text))
 
 
 def shape_features(shape: bytes) -> list[bytes]:
@@ -330,11 +340,19 @@ def field_spans(text: bytes, field: Field) -> list[tuple[str, int, int, int]]:
         piece = text[begin:end]
         begin += len(piece) - len(piece.lstrip(_QUOTES))
         end -= len(piece) - len(piece.rstrip(_QUOTES))
+        end = closing(text, begin, end)
         if begin < end:
             spans.append(("crf", begin, end, begin))
     return spans
 
 
+def closing(text: bytes, begin: int, end: int) -> int:
+    """Where a span ends whose value stands in quotes: at the quote that closes it, if the span goes beyond."""
+    quote = text[begin - 1 : begin] if begin else b""
+    closed = text.find(quote, begin, end) if quote and quote in b"\"'`" else -1
+    return end if closed < 0 else closed
+
+
 def contained(span: tuple, base: list[tuple]) -> bool:
     """Whether the spans of ``base`` together hold every byte of ``span``."""
     at = span[1]
@@ -415,61 +433,110 @@ def windows(text: bytes) -> list[tuple]:
     return out
 
 
+class Window:
+    """One window to learn from, its features numbered once for all passes."""
+
+    def __init__(self, tokens: list, whole: np.ndarray, tags: list[int], pieces: list | None = None, of: np.ndarray | None = None):
+        self.whole, self.tags, self.n = whole, np.asarray(tags), len(tags)
+        self.of = np.arange(self.n) if of is None else np.asarray(of)
+        self.firsts = np.searchsorted(self.of, np.arange(len(tokens)))  # of each token's pieces
+        self.lengths = np.array([len(f) for f in chain(tokens, pieces or [])])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        features = np.fromiter(chain.from_iterable(chain(tokens, pieces or [])), np.int64)
+        self.used, self.number = np.unique(features, return_inverse=True)
+        self.order = np.argsort(self.number, kind="stable")
+        self.bounds = np.searchsorted(self.number[self.order], np.arange(len(self.used)))
+        self.split, self.words = bool(pieces), len(tokens)
+        self.within = (self.of[1:] == self.of[:-1])[:, None]
+        self.moves = np.zeros((3, 3))
+        np.add.at(self.moves, (self.tags[:-1], self.tags[1:]), 1)
+
+    def emissions(self, weights: np.ndarray, file: np.ndarray) -> np.ndarray:
+        """What each piece's tags get, of the ``weights`` of the used features (own tag, the one after, the one before)."""
+        each = np.add.reduceat(weights[self.number], self.starts)
+        word = each[: self.words]
+        em = word[:, 0:3] + self.whole @ file
+        em[1:] += word[:-1, 3:6]
+        em[:-1] += word[1:, 6:9]
+        em = em[self.of]
+        if self.split:
+            piece = each[self.words :]
+            em += piece[:, 0:3]
+            em[1:] += piece[:-1, 3:6] * self.within
+            em[:-1] += piece[1:, 6:9] * self.within
+        return em
+
+    def gradient(self, share: np.ndarray) -> np.ndarray:
+        """The gradient of the used features' weights, from that of each piece's tags."""
+        rows = np.zeros((len(self.lengths), 9))
+        word = np.add.reduceat(share, self.firsts)
+        rows[: self.words, 0:3] = word
+        rows[: self.words - 1, 3:6] = word[1:]
+        rows[1 : self.words, 6:9] = word[:-1]
+        if self.split:
+            piece = rows[self.words :]
+            piece[:, 0:3] = share
+            piece[:-1, 3:6] = share[1:] * self.within
+            piece[1:, 6:9] = share[:-1] * self.within
+        return np.add.reduceat(np.repeat(rows, self.lengths, 0)[self.order], self.bounds)
+
+
+def marginals(emissions: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each piece's share of every tag, and the expected number of each tag after each, over all taggings."""
+    n = len(emissions)
+    e = np.exp(np.maximum(emissions - emissions.max(1, keepdims=True), -500))
+    e[0, I] = 0
+    move = np.exp(step - step.max())
+    move[O, I] = 0
+    (oo, ob, _), (bo, bb, bi), (io, ib, ii) = move.tolist()
+    rows = e.tolist()
+    o, b, i = rows[0]
+    total = o + b
+    forward = [(o / total, b / total, 0.0)]
+    for eo, eb, ei in rows[1:]:
+        o, b, i = forward[-1]
+        no, nb, ni = (o * oo + b * bo + i * io) * eo, (o * ob + b * bb + i * ib) * eb, (b * bi + i * ii) * ei
+        total = no + nb + ni
+        forward.append((no / total, nb / total, ni / total))
+    o = b = i = 1.0
+    backward = [(o, b, i)]
+    for eo, eb, ei in reversed(rows[1:]):
+        o, b, i = o * eo, b * eb, i * ei
+        no, nb, ni = o * oo + b * ob, o * bo + b * bb + i * bi, o * io + b * ib + i * ii
+        total = no + nb + ni
+        o, b, i = no / total, nb / total, ni / total
+        backward.append((o, b, i))
+    alpha, beta = np.array(forward), np.array(backward[::-1])
+    share = alpha * beta
+    share /= share.sum(1, keepdims=True)
+    if n == 1:
+        return share, np.zeros((3, 3))
+    ahead = e[1:] * beta[1:]
+    ahead /= np.einsum("ta,ab,tb->t", alpha[:-1], move, ahead)[:, None]
+    return share, move * (alpha[:-1].T @ ahead)
+
+
 def learn(start: np.ndarray, samples: list) -> np.ndarray:
     """The field after EPOCHS passes of per-coordinate gradient steps over windows."""
     field = Field(start.copy())
-    grown = np.full(Field.SIZE, 1e-2)
-    own = Field(np.zeros(Field.SIZE))  # holds one gradient
+    weights = field.word.transpose(1, 0, 2).reshape(HASHED, 9).copy()
+    grown, grown_file, grown_step = np.full((HASHED, 9), 1e-2), np.full((3, 3), 1e-2), np.full((3, 3), 1e-2)
+
+    def stepped(values: np.ndarray, gradient: np.ndarray, grown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        gradient = np.where(gradient != 0, gradient + DECAY * values, 0)
+        grown = grown + gradient * gradient
+        return values - RATE * gradient / np.sqrt(grown), grown
+
+    prepared = [Window(*sample) for sample in samples]
     for _ in range(EPOCHS):
-        for tokens, whole, tags, *split in samples:
-            n = len(tags)
-            pieces, of = split or ([], np.arange(n))
-            each = np.array([field.word[:, f, :].sum(1) for f in tokens])
-            em = each[:, 0] + whole @ field.file
-            em[1:] += each[:-1, 1]
-            em[:-1] += each[1:, 2]
-            em = em[of]
-            within = of[1:] == of[:-1]
-            if pieces:
-                each = np.array([field.word[:, f, :].sum(1) for f in pieces])
-                em += each[:, 0]
-                em[1:] += each[:-1, 1] * within[:, None]
-                em[:-1] += each[1:, 2] * within[:, None]
-            step = field.step.copy()
-            step[O, I] = FORBIDDEN
-            forward, backward = np.empty((n, 3)), np.zeros((n, 3))
-            forward[0] = em[0] + [0, 0, FORBIDDEN]
-            for t in range(1, n):
-                forward[t] = em[t] + np.logaddexp.reduce(forward[t - 1][:, None] + step, axis=0)
-            for t in range(n - 2, -1, -1):
-                backward[t] = np.logaddexp.reduce(step + em[t + 1] + backward[t + 1], axis=1)
-            total = np.logaddexp.reduce(forward[-1])
-            share = np.exp(forward + backward - total)
-            share[np.arange(n), tags] -= 1
-            own.flat[:] = 0
-            of_tokens = np.zeros((len(tokens), 3))
-            np.add.at(of_tokens, of, share)
-            for t, f in enumerate(tokens):
-                own.word[0, f] += of_tokens[t]
-                if t + 1 < len(tokens):
-                    own.word[1, f] += of_tokens[t + 1]
-                if t:
-                    own.word[2, f] += of_tokens[t - 1]
-            for t, f in enumerate(pieces):
-                own.word[0, f] += share[t]
-                if t + 1 < n and within[t]:
-                    own.word[1, f] += share[t + 1]
-                if t and within[t - 1]:
-                    own.word[2, f] += share[t - 1]
-            own.file += whole[:, None] * share.sum(0)
-            for t in range(n - 1):
-                both = forward[t][:, None] + step + em[t + 1] + backward[t + 1] - total
-                own.step += np.exp(both)
-                own.step[tags[t], tags[t + 1]] -= 1
-            used = np.flatnonzero(own.flat)
-            gradient = own.flat[used] + DECAY * field.flat[used]
-            grown[used] += gradient * gradient
-            field.flat[used] -= RATE * gradient / np.sqrt(grown[used])
+        for window in prepared:
+            used = window.used
+            share, moves = marginals(window.emissions(weights[used], field.file), field.step)
+            share[np.arange(window.n), window.tags] -= 1
+            weights[used], grown[used] = stepped(weights[used], window.gradient(share), grown[used])
+            field.file[:], grown_file = stepped(field.file, window.whole[:, None] * share.sum(0), grown_file)
+            field.step[:], grown_step = stepped(field.step, moves - window.moves, grown_step)
+    field.word[:] = weights.reshape(HASHED, 3, 3).transpose(1, 0, 2)
     return field.flat
 
 
@@ -484,20 +551,23 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Field | None:
     # Every text is looked at; those with the smallest hashes of each kind are the same for every partitioning.
     drawn = stage(by_batch(texts, marked, "draw long, hit boolean").distinct(), "secret-draws")
     chosen = drawn.where("hit").orderBy("draw").limit(rows).union(drawn.where("NOT hit").orderBy("draw").limit(rows))
-    return _fit_on(texts.join(F.broadcast(chosen), "draw").dropDuplicates(["draw"]))  # chosen has 2 * rows rows at most
+    # Dealt in turn: chosen has 2 * rows rows at most.
+    dealt = chosen.withColumn("shard", F.row_number().over(W.orderBy("draw")) % SHARDS)
+    return _fit_on(texts.join(F.broadcast(dealt), "draw").dropDuplicates(["draw"]))
 
 
 def _fit_on(sample: DataFrame) -> Field | None:
-    shard = F.pmod(F.xxhash64("draw", F.lit("shard")), F.lit(SHARDS)).cast("int")
-
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("draw")
-        samples = [w for text in part["text"] for w in windows(text)]
-        hits = sum(any(sample[2]) for sample in samples)
-        flat = learn(np.zeros(Field.SIZE), samples) if hits else np.zeros(Field.SIZE)
-        return pd.DataFrame({"hits": [hits], "flat": [flat.astype(np.float32).tobytes()]})
-
-    parts = sample.select("draw", "text", shard.alias("shard")).groupBy("shard").applyInPandas(one, "hits long, flat binary")
+    def run(parts):
+        rows = pd.concat([*parts, pd.DataFrame({"draw": [], "text": [], "shard": []})])
+        for _, part in rows.groupby("shard"):
+            part = part.sort_values("draw")
+            samples = [w for text in part["text"] for w in windows(text)]
+            hits = sum(any(sample[2]) for sample in samples)
+            flat = learn(np.zeros(Field.SIZE), samples) if hits else np.zeros(Field.SIZE)
+            yield pd.DataFrame({"hits": [hits], "flat": [flat.astype(np.float32).tobytes()]})
+
+    # By range of the few shard numbers, so that no two of them share a task.
+    parts = sample.select("draw", "text", "shard").repartitionByRange(SHARDS, "shard").mapInPandas(run, "hits long, flat binary")
     found = [np.frombuffer(p["flat"], np.float32).astype(np.float64) for p in parts.collect() if p["hits"]]
     return Field(np.mean(found, axis=0)) if found else None
 
