@@ -7,7 +7,9 @@ of the whole file; the tags of a text are decoded together by Viterbi, so a span
 words. No labelled secrets exist, so the field learns from where the patterns match, on a bounded
 sample drawn by smallest hash from all documents, cut into windows, in SHARDS parts whose parameters
 are averaged (the likelihood is convex). A match that stops inside a value is learned from up to the
-value's end. Pattern spans always stay.
+value's end. So that the field learns secrets of other kinds than those matched, every text with a
+match is also learned REWRITTEN times with its values, and what announces them, put in other
+characters, drawn by the text's hash. Pattern spans always stay.
 
 Defined results: a null or empty text has no spans; spans count code points and their ends are
 exclusive; without any pattern match only the patterns are used; repeated rows get
@@ -17,6 +19,7 @@ equal rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections.abc import Callable
@@ -70,10 +73,14 @@ _SHAPE = bytes(
 LONG = 16
 #: Rows of tokens that a worker keeps; tokens longer than KEPT bytes are worked out each time.
 HELD_ROWS, KEPT = 300_000, 64
-#: Places of one text to learn from: of matches, and of other tokens with digits, spread over the text.
-MATCHES, NUMBERS = 8, 4
+#: Places of one text to learn from: of matches, of other tokens with digits, spread over the text, and the longest other tokens.
+MATCHES, NUMBERS, LONGEST = 8, 4, 4
 #: A window's pieces to each side of the place it is cut around.
 PIECES = 160
+#: How often a text with matches is learned from with other values.
+REWRITTEN = 3
+_LOWER, _UPPER, _DIGITS = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+_ALPHABETS = (_LOWER + _UPPER + _DIGITS, _LOWER + _UPPER + _DIGITS + b"+/", _LOWER + _DIGITS, _UPPER + _DIGITS, _DIGITS + b"abcdef", _DIGITS + b"ABCDEF")
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(9, 14), 32]] = True
 
@@ -391,10 +398,59 @@ def spread(places: list[int], most: int) -> list[int]:
     return places if n <= most else [places[i * (n - 1) // (most - 1)] for i in range(most)]
 
 
-def windows(text: bytes) -> list[tuple]:
-    """Places to learn from, around matches, numbers and the middle, over the whole text.
+def values(text: bytes) -> list[tuple[int, int, int]]:
+    """(begin of the match, begin and end of its value), without those inside an earlier one's value."""
+    out: list[tuple[int, int, int]] = []
+    for _, begin, end, secret in sorted(pattern_spans(text), key=lambda m: (m[3], m[1])):
+        if not out or secret >= out[-1][2]:
+            out.append((begin, secret, value_end(text, end, secret)))
+    return out
+
+
+def other_value(draw: random.Random) -> bytes:
+    """A value in one of the alphabets, whole or in groups, some behind a short name."""
+    alphabet = draw.choice(_ALPHABETS)
+    sign = bytes([draw.choice(b"-_")])
+    groups = [draw.randrange(16, 49)] if draw.random() < 0.7 else [draw.randrange(4, 13) for _ in range(draw.randrange(3, 6))]
+    made = [bytes(draw.choices(alphabet, k=n - 1)) + bytes([draw.choice(_DIGITS)]) for n in groups]
+    name = [bytes(draw.choices(_LOWER, k=draw.randrange(2, 7)))] if draw.random() < 0.4 else []
+    return sign.join(name + made)
+
+
+def rewritten(text: bytes, draw: random.Random) -> tuple[bytes, list[tuple[int, int]]]:
+    """The text with every value replaced, announced as before, by another of its words, or not at all; and where the values stand."""
+    own = text[:4096].split()
+    out, done, marks = b"", 0, []
+    for begin, secret, end in values(text):
+        begin = max(begin, done)
+        lead, way = text[begin:secret], draw.randrange(4)
+        quote = lead[-1:] if lead[-1:] in (b'"', b"'") else b""
+        if way == 1:
+            lead = draw.choice(own).strip(_EDGE) + draw.choice((b" = ", b": ", b"=", b" ")) + quote
+        elif way > 1:
+            lead = b""
+        out += text[done:begin] + lead
+        value = other_value(draw)
+        marks.append((len(out), len(out) + len(value)))
+        done = end + 1 if quote and not lead and text[end : end + 1] == quote else end
+        out += value
+    return out + text[done:], marks
+
+
+def learned_from(text: bytes) -> list[tuple]:
+    """The windows of a text, and with matches those around the values of its rewritten forms."""
+    out = windows(text)
+    if values(text):
+        draw = random.Random(zlib.crc32(text))
+        for _ in range(REWRITTEN):
+            out += [w for w in windows(*rewritten(text, draw)) if any(w[2])]
+    return out
+
+
+def windows(text: bytes, marks: list[tuple[int, int]] | None = None) -> list[tuple]:
+    """Places to learn from, around matches, numbers, the longest words and the middle, over the whole text.
 
-    Each is (token features, file features, tags of the pieces, features of the pieces, token of each piece).
+    ``marks`` are begins and ends of the values; without them, those of the patterns. Each is (token features, file features, tags of the pieces, features of the pieces, token of each piece).
     """
     tokens = text.split()
     if not tokens:
@@ -404,18 +460,21 @@ def windows(text: bytes) -> list[tuple]:
     firsts = np.cumsum([0, *counts])  # of each token
     of = np.repeat(np.arange(len(tokens)), counts)
     tags = np.zeros(len(pieces), np.int64)
-    for _, _, end, secret in pattern_spans(text):
-        first, last = np.searchsorted(ends, secret, "right"), np.searchsorted(begins, value_end(text, end, secret), "left") - 1
+    if marks is None:
+        marks = [(secret, value_end(text, end, secret)) for _, _, end, secret in pattern_spans(text)]
+    for secret, end in marks:
+        first, last = np.searchsorted(ends, secret, "right"), np.searchsorted(begins, end, "left") - 1
         tags[first] = B if tags[first] == O else tags[first]
         tags[first + 1 : last + 1] = I
     digit = re.compile(rb"[0-9]")
     marked = np.flatnonzero(tags == B).tolist()
     inside = np.maximum.reduceat(tags, firsts[:-1]) > 0
     plain = [int(firsts[i]) for i, t in enumerate(tokens) if not inside[i] and len(t) > 5 and digit.search(t)]
+    longest = [int(firsts[i]) for i in sorted(np.flatnonzero(~inside).tolist(), key=lambda i: (-len(tokens[i]), i))[:LONGEST]]
     whole = file_features(text, len(tokens))
     weak = weak_tokens(text, text.lower())
     ranges: list[list[int]] = []
-    for at in sorted({*spread(marked, MATCHES), *spread(plain, NUMBERS), int(firsts[len(tokens) // 2])}):
+    for at in sorted({*spread(marked, MATCHES), *spread(plain, NUMBERS), *longest, int(firsts[len(tokens) // 2])}):
         low, high = max(0, of[at] - AROUND), min(len(tokens), of[at] + AROUND + 1)
         first, end = max(int(firsts[low]), at - PIECES), min(int(firsts[high]), at + PIECES)
         if ranges and first <= ranges[-1][1]:
@@ -561,7 +620,7 @@ def _fit_on(sample: DataFrame) -> Field | None:
         rows = pd.concat([*parts, pd.DataFrame({"draw": [], "text": [], "shard": []})])
         for _, part in rows.groupby("shard"):
             part = part.sort_values("draw")
-            samples = [w for text in part["text"] for w in windows(text)]
+            samples = [w for text in part["text"] for w in learned_from(text)]
             hits = sum(any(sample[2]) for sample in samples)
             flat = learn(np.zeros(Field.SIZE), samples) if hits else np.zeros(Field.SIZE)
             yield pd.DataFrame({"hits": [hits], "flat": [flat.astype(np.float32).tobytes()]})
