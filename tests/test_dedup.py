@@ -108,3 +108,27 @@ def test_cross_check_needs_all_keys_and_less_than_a_cent(spark):
         {"a": result((1, 1.0), (2, 5.0), (3, 1.0)), "b": result((1, 1.009), (2, 5.02))}, "k", "v"
     ).collect()
     assert {r.key: r.agrees for r in rows} == {1: True, 2: False, 3: False}
+
+
+def test_only_rows_that_may_repeat_are_shuffled(spark):
+    """Past the broadcast limit the sieve keeps unique rows out of the join, and loses no repeated one."""
+    from tripflow.operators import dedup
+
+    digest = F.xxhash64("trip_id")
+    frame = spark.range(60_000).select(F.concat(F.lit("k"), F.least("id", F.col("id") % 50_000)).alias("trip_id"), F.col("id").alias("_position"))
+    suspects, found = dedup.suspect_digests(frame, digest)
+    assert found == 10_000
+    single, maybe = dedup.split_by_sieve(frame, digest, suspects, found)
+    assert single.count() + maybe.count() == 60_000
+    assert single.join(suspects, F.col("_digest") == digest, "left_semi").isEmpty()
+    assert 20_000 <= maybe.count() < 21_000
+    assert flag_repeats(frame, broadcast_keys=0).filter(DUPLICATE).count() == 10_000
+    kept = dedup.first_rows(frame, "trip_id", "_position", broadcast_keys=0)
+    assert kept.agg(F.count("*"), F.max("_position")).first() == (50_000, 49_999)
+
+
+def test_flagging_does_not_sort_or_shuffle_wide_rows_without_repeats(spark):
+    frame = spark.range(9_000).select(F.col("id").cast("string").alias("trip_id"), F.col("id").alias("_position"))
+    twice = frame.unionByName(frame.filter("_position < 1000").withColumn("_position", F.col("_position") + 9_000))
+    plan = flag_repeats(twice, broadcast_keys=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan

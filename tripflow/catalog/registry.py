@@ -92,9 +92,14 @@ class Sample:
     def raw(self) -> DataFrame:
         return self.trips.select(*schemas.RAW_COLUMNS)
 
+    @cached_property
+    def stored_trips(self) -> DataFrame:
+        """The trips as a table: what looks at them several times joins order lines to orders only once."""
+        return stage(self.trips, "trips")
+
     @cached_property
     def judged(self) -> DataFrame:
-        return stage(rules.judge(add_trip_id(self.trips), self.context), "judged")
+        return stage(rules.judge(add_trip_id(self.stored_trips), self.context), "judged")
 
     @property
     def good(self) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import ceil, log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,9 @@ from tripflow.sources.warehouse import BROADCAST_KEYS
 DUPLICATE = "_is_duplicate"
 # A key is hot when it holds more than 1/HOT_SHARE of the repeated rows: at most HOT_SHARE such keys.
 HOT_SHARE = 10_000
+# The sieve: 16 words of 64 bits to a block, at most 64 digests to a block, five bits of one word for each;
+# at most 2**20 blocks (some 200 MB). Beyond 64 million suspects it lets more rows through, never fewer.
+SIEVE_WORDS, SIEVE_KEYS, SIEVE_BITS, SIEVE_LEVEL = 16, 64, 5, 20
 
 
 def repeated_keys(df: DataFrame, key: str, position: str = POSITION) -> DataFrame:
@@ -26,21 +32,55 @@ def repeated_keys(df: DataFrame, key: str, position: str = POSITION) -> DataFram
     )
 
 
-def suspect_rows(df: DataFrame, digest: Column, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame | None:
-    """Rows whose digest occurs more than once; None when there are none.
+def suspect_digests(df: DataFrame, digest: Column) -> tuple[DataFrame, int]:
+    """The digests that occur more than once, stored, and their number.
 
     A digest is eight bytes, so this first look shuffles a fraction of what full keys would, and in
-    a delivery without repeats it is the only one. Many suspects are not worth a join: then all rows
-    are.
+    a delivery without repeats it is the only one.
     """
     digests = df.groupBy(digest.alias("_digest")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     suspects = stage(digests.select("_digest"), "suspect-digests")
-    found = suspects.count()
-    if found == 0:
-        return None
-    if found > broadcast_keys:
-        return df
-    return df.withColumn("_digest", digest).join(F.broadcast(suspects), "_digest", "left_semi").drop("_digest")
+    return suspects, suspects.count()
+
+
+def _placed(df: DataFrame, digest: Column, level: int) -> DataFrame:
+    """Add block, word of the block and bits of the word that stand for a digest.
+
+    Each is a column of its own before the join, so that the key fields are hashed once for a row and
+    the code of a stage stays short enough for the JVM to compile.
+    """
+    marked = df.withColumn("_digest", digest.cast("long"))
+    marked = marked.withColumn("_draw", F.xxhash64("_digest"))
+    each = [F.call_function("shiftleft", F.lit(1).cast("long"), F.expr(f"cast(shiftrightunsigned(_draw, {6 * i}) & 63 as int)")) for i in range(SIEVE_BITS)]
+    return (
+        marked.withColumn("_block", F.col("_digest").bitwiseAND(F.lit((1 << level) - 1).cast("long")))
+        .withColumn("_word", F.shiftrightunsigned("_digest", 60).cast("int"))
+        .withColumn("_bits", reduce(lambda x, y: x.bitwiseOR(y), each))
+    )
+
+
+def sieve_level(count: int) -> int:
+    """The exponent of the number of blocks for so many digests."""
+    return min(SIEVE_LEVEL, max(0, ceil(log2(max(1, count) / SIEVE_KEYS))))
+
+
+def sieve(digests: DataFrame, level: int) -> DataFrame:
+    """A Bloom filter of ``_digest`` as a table of 2**level blocks of 16 words, small enough to broadcast."""
+    placed = _placed(digests, F.col("_digest"), level)
+    words = [F.coalesce(F.bit_or(F.when(F.col("_word") == i, F.col("_bits"))), F.lit(0).cast("long")) for i in range(SIEVE_WORDS)]
+    return placed.groupBy("_block").agg(F.array(*words).alias("_words"))
+
+
+def split_by_sieve(df: DataFrame, digest: Column, suspects: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose digest is none of ``suspects``, and all others with a few in a thousand of those besides.
+
+    Neither part is shuffled: only the sieve's blocks, about two bytes for each suspect, reach the tasks.
+    """
+    level = sieve_level(count)
+    blocks = stage(sieve(suspects, level), "sieve")
+    placed = _placed(df, digest, level).drop("_digest", "_draw").join(F.broadcast(blocks), "_block", "left")
+    may = F.coalesce(F.get("_words", F.col("_word")).bitwiseAND(F.col("_bits")) == F.col("_bits"), F.lit(False))
+    return placed.filter(~may).select(*df.columns), placed.filter(may).select(*df.columns)
 
 
 def flag_repeats(
@@ -57,30 +97,39 @@ def flag_repeats(
 
     * none: nothing to join;
     * up to ``broadcast_keys``: they are broadcast, and the wide rows are not shuffled at all;
-    * more: the hot ones (at most ``HOT_SHARE`` by definition) are broadcast, and rows that matched
-      one get a routing key of their own, so the shuffle join that serves the rest has no hot key.
+    * more: only rows that pass a sieve of the repeated digests are shuffled. The hot keys (at most
+      ``HOT_SHARE`` by definition) are broadcast, and rows that matched one get a routing key of
+      their own, so the shuffle join that serves the rest has no hot key.
     """
-    suspects = suspect_rows(df, F.xxhash64(key) if digest is None else digest, broadcast_keys)
-    if suspects is None:
+    digest = F.xxhash64(key) if digest is None else digest
+    suspects, found = suspect_digests(df, digest)
+    if found == 0:
         return df.withColumn(DUPLICATE, F.lit(False))
-    repeats = stage(repeated_keys(suspects, key, position), "repeated-keys")
+    if found > broadcast_keys:
+        single, maybe = split_by_sieve(df, digest, suspects, found)
+    else:
+        maybe = df.withColumn("_digest", digest).join(F.broadcast(suspects), "_digest", "left_semi").drop("_digest")
+    repeats = stage(repeated_keys(maybe, key, position), "repeated-keys")
     size = repeats.agg(F.count(F.lit(1)).alias("keys"), F.sum("_copies").alias("rows")).first()
     if size["keys"] == 0:
         return df.withColumn(DUPLICATE, F.lit(False))
     if size["keys"] <= broadcast_keys:
-        joined = df.join(F.broadcast(repeats.select(key, "_first")), key, "left")
-        first = F.col("_first")
-    else:
-        is_hot = F.col("_copies") > F.lit(size["rows"] // HOT_SHARE)
-        hot = repeats.filter(is_hot).select(key, F.col("_first").alias("_hot_first"))
-        rest = repeats.filter(~is_hot).select(F.col(key).alias("_route"), "_first")
-        own_route = F.concat(F.lit("#"), F.col(position).cast("string"))
-        joined = (
-            df.join(F.broadcast(hot), key, "left")
-            .withColumn("_route", F.when(F.col("_hot_first").isNull(), F.col(key)).otherwise(own_route))
-            .join(rest, "_route", "left")
-        )
-        first = F.coalesce("_hot_first", "_first")
+        return _flagged(df, df.join(F.broadcast(repeats.select(key, "_first")), key, "left"), F.col("_first"), position)
+    is_hot = F.col("_copies") > F.lit(size["rows"] // HOT_SHARE)
+    hot = repeats.filter(is_hot).select(key, F.col("_first").alias("_hot_first"))
+    rest = repeats.filter(~is_hot).select(F.col(key).alias("_route"), "_first")
+    own_route = F.concat(F.lit("#"), F.col(position).cast("string"))
+    joined = (
+        maybe.join(F.broadcast(hot), key, "left")
+        .withColumn("_route", F.when(F.col("_hot_first").isNull(), F.col(key)).otherwise(own_route))
+        # Unique keys on the right: built as a hash table, so that the wide rows are not sorted.
+        .join(rest.hint("shuffle_hash"), "_route", "left")
+    )
+    flagged = _flagged(df, joined, F.coalesce("_hot_first", "_first"), position)
+    return single.withColumn(DUPLICATE, F.lit(False)).unionByName(flagged)
+
+
+def _flagged(df: DataFrame, joined: DataFrame, first: Column, position: str) -> DataFrame:
     # A repeated key's first copy has its own position; a key without repeats has no first.
     is_repeat = F.coalesce(F.col(position) != first, F.lit(False))
     return joined.select(*df.columns, is_repeat.alias(DUPLICATE))
@@ -99,13 +148,14 @@ def first_per_key(df: DataFrame, key: str, position: str = POSITION) -> DataFram
 
 def first_rows(df: DataFrame, key: str, position: str = POSITION, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """``first_per_key``, but only rows whose key may repeat are aggregated; all others pass as they are."""
-    digests = df.groupBy(F.xxhash64(key).alias("_digest")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    suspects = stage(digests.select("_digest"), "suspect-digests")
-    found = suspects.count()
+    digest = F.xxhash64(key)
+    suspects, found = suspect_digests(df, digest)
     if found == 0:
         return df
     if found > broadcast_keys:
-        return first_per_key(df, key, position)
-    marked, repeated = df.withColumn("_digest", F.xxhash64(key)), F.broadcast(suspects)
-    single = marked.join(repeated, "_digest", "left_anti").drop("_digest")
-    return single.unionByName(first_per_key(marked.join(repeated, "_digest", "left_semi").drop("_digest"), key, position))
+        single, maybe = split_by_sieve(df, digest, suspects, found)
+    else:
+        marked, repeated = df.withColumn("_digest", digest), F.broadcast(suspects)
+        single = marked.join(repeated, "_digest", "left_anti").drop("_digest")
+        maybe = marked.join(repeated, "_digest", "left_semi").drop("_digest")
+    return single.unionByName(first_per_key(maybe, key, position))

@@ -103,7 +103,8 @@ def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     if paths is None:
         paths = _unscoped.setdefault(spark.sparkContext.applicationId, [])
     paths.append(path)
-    writer = df.write.mode("errorifexists")
+    # Hex keys are most of a wide row's bytes; zstd halves them.
+    writer = df.write.mode("errorifexists").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
