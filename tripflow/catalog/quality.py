@@ -9,7 +9,7 @@ from tripflow import schemas
 from tripflow.catalog.oracle import HARD, MONTH_RULE, SOFT, hard, judged, with_trips
 from tripflow.catalog.registry import Sample, query
 from tripflow.functions.calendar import month_text
-from tripflow.functions.keys import add_trip_id
+from tripflow.functions.keys import add_trip_id, key_digest
 from tripflow.operators import dedup, profiling, reconcile, rules
 from tripflow.plans.ingest import batch_counts
 from tripflow.sources.raw import POSITION
@@ -31,7 +31,7 @@ def _register_rule(code: str, letter: str) -> None:
 
     @query(f"rule_{code}_o{letter}", sql)
     def rule_hits(s: Sample) -> DataFrame:
-        checked = dedup.flag_repeats(add_trip_id(s.trips)) if repeats else s.trips
+        checked = dedup.flag_repeats(add_trip_id(s.stored_trips), digest=key_digest()) if repeats else s.trips
         return checked.groupBy(month_text(F.col("tpep_pickup_datetime")).alias("pickup_month")).agg(
             F.count(F.lit(1)).alias("rows"), F.count_if(rules.RULES[code].fails(ctx)).alias("failing")
         )
@@ -46,7 +46,7 @@ for _i, _rule in enumerate(rules.SOFT_RULES):
 @query("reject_reasons_o32", with_trips("SELECT trip_id, reason_codes, total_amount FROM judged", "judged"))
 def reject_reasons(s: Sample) -> DataFrame:
     """Every row with its reason codes."""
-    return rules.judge(add_trip_id(s.trips), s.context).select("trip_id", "reason_codes", "total_amount")
+    return rules.judge(add_trip_id(s.stored_trips), s.context).select("trip_id", "reason_codes", "total_amount")
 
 
 @query(
@@ -69,7 +69,7 @@ def soft_mask(s: Sample) -> DataFrame:
 def check_context(s: Sample) -> DataFrame:
     """A run with a month and its own vendor list; empty code lists fall back to the defaults."""
     ctx = rules.CheckContext(month=SAMPLE_MONTH, vendors={1}, payment_types=set(), now=SAMPLE_NOW)
-    judged_rows = rules.judge(add_trip_id(s.trips), ctx)
+    judged_rows = rules.judge(add_trip_id(s.stored_trips), ctx)
     return judged_rows.groupBy("reason_codes").agg(F.count(F.lit(1)).alias("rows"))
 
 
