@@ -321,7 +321,7 @@ def first_occurrence(s: Sample) -> DataFrame:
 def drop_duplicates(s: Sample) -> DataFrame:
     """Whole first row of every trip_id in file order."""
     rows = s.judged.select("trip_id", "reason_codes", "total_amount", POSITION)
-    return dedup.first_per_key(rows, "trip_id").drop(POSITION)
+    return dedup.first_rows(rows, "trip_id").drop(POSITION)
 
 
 @query(
