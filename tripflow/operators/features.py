@@ -7,6 +7,7 @@ import tomllib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ SPLIT_COLUMN = "split"
 # No feature looks further back than this many days.
 LOOKBACK_DAYS = 14
 HOURS_PER_DAY = 24
+# Grid rows that one task sorts for its windows: their memory is that of these rows, whatever the zones.
+ROWS_PER_TASK = 400_000
 
 
 class LeakageError(AssertionError):
@@ -129,11 +132,13 @@ def demand_grid(
     grid, whatever its traffic.
     """
     first, after = _midnight(start), _midnight(end) + dt.timedelta(days=1)
+    # By rows, not by bytes: dense rows are so small in a shuffle that a share of usual size is millions of them.
+    rows = dim_location.count() * HOURS_PER_DAY * (after - first).days
     counted = hourly_demand(picked_up_between(fact, first, after), dim_location, cutoff)
     zeros = zone_hours(dim_location, start, end).withColumn("trips", F.lit(0).cast("long"))
     return (
         zeros.unionByName(counted)
-        .repartition("zone_id")
+        .repartition(max(2, ceil(rows / ROWS_PER_TASK)), "zone_id")
         .groupBy("zone_id", "hour_start")
         .agg(F.sum("trips").alias("trips"))
         .withColumn("forecast_date", F.to_date("hour_start"))
