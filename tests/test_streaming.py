@@ -167,6 +167,22 @@ def test_demand_counts_late_pickups_within_the_mark_and_others_apart(spark, tmp_
     assert demand(spark, folder, table) == expected
 
 
+def test_many_zones_are_counted_by_few_calls(spark, tmp_path):
+    """Zones share state: two zones of one share, one with late pickups, keep their own counts."""
+    from pyspark.sql import functions as F
+
+    from tripflow.streaming import demand as module
+
+    at = dt.datetime(2026, 3, 29, 6)
+    zones = list(range(3000))
+    pickups(spark, tmp_path / "in", 0, [(z, at + dt.timedelta(minutes=z % 60)) for z in zones])
+    pickups(spark, tmp_path / "in", 1, [(z, at if z % 2 else at - dt.timedelta(hours=5)) for z in zones])
+    expected = {(z, at): (2 if z % 2 else 1, 0) for z in zones} | {(z, at - dt.timedelta(hours=5)): (0, 1) for z in zones if not z % 2}
+    assert demand(spark, tmp_path / "in", tmp_path / "demand") == expected
+    keys = spark.read.format("statestore").load(f"{tmp_path}/demand/_checkpoint").select(F.col("key.*")).count()
+    assert 0 < keys <= module.SHARES
+
+
 def test_no_pickups(spark, tmp_path):
     pickups(spark, tmp_path / "in", 0, [])
     assert demand(spark, tmp_path / "in", tmp_path / "demand") == {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,12 @@ from tripflow.sources import files
 
 HOUR_MS = 3_600_000
 UPDATES = "zone_id int, hour_start timestamp, trips long, late boolean"
+#: Zones share state by the hash of their key: a call of Python for each of so many shares, not for each zone.
+SHARES = 1024
+#: Frames of a share that are held before they are summed.
+MOST_PARTS = 64
+# Zone, hour in milliseconds and trips, in the state's bytes.
+KINDS = ("int32", "int64", "int64")
 
 
 def _per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -26,24 +33,41 @@ def _per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from summed.select(["zone_id", "hour_start", "pickup", "trips"]).to_batches()
 
 
+def _summed(zones: np.ndarray, hours: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Zones and hours, each pair once, and the sums of their values."""
+    if not len(zones):
+        return [zones, hours, *values]
+    order = np.lexsort((hours, zones))
+    zones, hours = zones[order], hours[order]
+    first = np.flatnonzero(np.r_[True, (zones[1:] != zones[:-1]) | (hours[1:] != hours[:-1])])
+    return [zones[first], hours[first], *(np.add.reduceat(v[order], first) for v in values)]
+
+
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(column) for column in zip(*parts)]
+
+
 def _count(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Running counts of a zone's open hours; what comes after the watermark passed its hour is late."""
+    """Running counts of the open hours of a share of the zones; what comes after the watermark passed its hour is late."""
     mark = state.getCurrentWatermarkMs()
-    hours, trips = state.get if state.exists else ([], [])
-    counts = {hour: n for hour, n in zip(hours, trips) if hour + HOUR_MS > mark}
-    changed, late = set(), {}
+    new = [[np.empty(0, kind) for kind in KINDS]]
     for part in parts:
-        for start, n in zip(part["hour_start"], part["trips"]):
-            hour = start.value // 1_000_000
-            if hour + HOUR_MS > mark:
-                counts[hour] = counts.get(hour, 0) + int(n)
-                changed.add(hour)
-            else:
-                late[hour] = late.get(hour, 0) + int(n)
-    state.update((list(counts), list(counts.values())))
-    rows = [(hour, counts[hour], False) for hour in changed] + [(hour, n, True) for hour, n in late.items()]
-    hours = pd.to_datetime([r[0] for r in rows], unit="ms")
-    yield pd.DataFrame({"zone_id": key[0], "hour_start": hours, "trips": [r[1] for r in rows], "late": [r[2] for r in rows]})
+        hour = part["hour_start"].to_numpy().astype("datetime64[ms]").astype("int64")
+        new.append([part["zone_id"].to_numpy().astype("int32"), hour, part["trips"].to_numpy().astype("int64")])
+        if len(new) > MOST_PARTS:
+            new = [_summed(*_joined(new))]
+    zones, hours, trips = _summed(*_joined(new))
+    is_open = hours + HOUR_MS > mark
+    stored = state.get if state.exists else (b"", b"", b"")
+    before = [np.frombuffer(bytes(data), kind) for data, kind in zip(stored, KINDS)]
+    kept = before[1] + HOUR_MS > mark
+    held = [[*(column[kept] for column in before), np.zeros(kept.sum(), "int64")], [zones[is_open], hours[is_open], trips[is_open], np.ones(is_open.sum(), "int64")]]
+    *counts, touched = _summed(*_joined(held))
+    state.update(tuple(column.tobytes() for column in counts))
+    changed = touched > 0
+    zones, hours, trips = _joined([[column[changed] for column in counts], [column[~is_open] for column in (zones, hours, trips)]])
+    late = np.arange(len(zones)) >= changed.sum()
+    yield pd.DataFrame({"zone_id": zones, "hour_start": hours.astype("datetime64[ms]"), "trips": trips, "late": late})
 
 
 def hourly_updates(pickups: DataFrame, delay: str) -> DataFrame:
@@ -51,9 +75,9 @@ def hourly_updates(pickups: DataFrame, delay: str) -> DataFrame:
 
     A row that is not late carries the whole count of its hour so far and replaces the one before. A
     late row carries only what came after the watermark (the latest pickup of all earlier batches less
-    ``delay``) passed the hour's end. The state of a zone is a count for each hour that the watermark
-    had not passed when the zone last had a pickup, whatever their number. Rows without a zone or
-    pickup time are left out, as in the batch.
+    ``delay``) passed the hour's end. The state of a share of the zones is a count for each zone and hour
+    that the watermark had not passed when the share last had a pickup, as arrays of bytes. Rows without
+    a zone or pickup time are left out, as in the batch.
     """
     # The pickup's own wall-clock time; event time needs an instant, and UTC has no gaps.
     at = F.col("pickup_datetime").cast("timestamp")
@@ -63,8 +87,9 @@ def hourly_updates(pickups: DataFrame, delay: str) -> DataFrame:
     summed = known.mapInArrow(_per_batch, "zone_id int, hour_start timestamp, pickup timestamp, trips long")
     return (
         summed.withWatermark("pickup", delay)
-        .groupBy("zone_id")
-        .applyInPandasWithState(_count, UPDATES, "hours array<long>, trips array<long>", "update", GroupStateTimeout.NoTimeout)
+        .withColumn("share", F.pmod(F.hash("zone_id"), F.lit(SHARES)))
+        .groupBy("share")
+        .applyInPandasWithState(_count, UPDATES, "zones binary, hours binary, trips binary", "update", GroupStateTimeout.NoTimeout)
     )
 
 
