@@ -132,3 +132,40 @@ def test_flagging_does_not_sort_or_shuffle_wide_rows_without_repeats(spark):
     twice = frame.unionByName(frame.filter("_position < 1000").withColumn("_position", F.col("_position") + 9_000))
     plan = flag_repeats(twice, broadcast_keys=0)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def delivered(spark, n: int = 4000):
+    """Rows of two files, nine tenths of them repeats, with their place as a scan gives it, and one more number after it."""
+    rows = [(f"k{i % 400}" if i % 7 else None, (f"file:/in/{'ba'[i % 2]}", i // 2, i % 3), i) for i in range(n)]
+    return spark.createDataFrame(rows, "trip_id string, _position struct<file: string, row: long, copy: int>, payload long").repartition(5), rows
+
+
+def test_no_row_is_shuffled_however_many_repeat(spark):
+    frame, rows = delivered(spark)
+    flagged = flag_repeats(frame, digest=F.length("trip_id"), broadcast_keys=0)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    first = {}
+    for key, place, _ in rows:
+        first[key] = min(place, first.get(key, place))
+    expected = {n: key is not None and place != first[key] for key, place, n in rows}
+    assert {r.payload: r[DUPLICATE] for r in flagged.collect()} == expected
+
+
+@pytest.mark.parametrize("limit", [0, 5, 1_000_000])
+def test_the_first_rows_are_the_same_by_places_and_by_sorting(spark, limit):
+    from tripflow.operators import dedup
+
+    frame, rows = delivered(spark)
+    wanted = sorted(map(str, first_per_key(frame, "trip_id").collect()))
+    assert sorted(map(str, dedup.first_rows(frame, "trip_id", broadcast_keys=limit).collect())) == wanted
+    # Rows that share a place, as after a join that doubles rows, leave one row for each key all the same.
+    twice = frame.unionByName(frame)
+    assert sorted(map(str, dedup.first_rows(twice, "trip_id", broadcast_keys=limit).collect())) == wanted
+
+
+def test_a_position_that_is_no_place_still_orders_the_rows(keyed):
+    frame, keys = keyed
+    text = frame.withColumn("_position", F.format_string("%09d", "_position"))
+    rows = flag_repeats(text, broadcast_keys=0).orderBy("_position").collect()
+    assert [r[DUPLICATE] for r in rows] == repeats(keys)

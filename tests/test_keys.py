@@ -100,3 +100,17 @@ def test_hours_ignore_the_clock_changes_of_the_session(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [r.h for r in rows] == [dt.datetime(2026, 3, 8, 2), dt.datetime(2026, 11, 1, 1)]
     assert [r.m for r in rows] == ["2026-03-08 02:30", "2026-11-01 01:30"]
+
+
+def test_packed_keys_come_back_and_stay_apart(spark):
+    import hashlib
+
+    from tripflow.functions.keys import packed, unpacked
+
+    digest = hashlib.sha256(b"x").hexdigest()
+    texts = [digest, digest.upper(), digest[:63], digest + "0", "g" * 64, "", "k1", "é", "\0" * 33, None]
+    frame = spark.createDataFrame([(t,) for t in texts], "k string").select("k", packed("k").alias("b"))
+    rows = frame.select("k", "b", unpacked("b").alias("again")).collect()
+    assert [r.again for r in rows] == [r.k for r in rows]
+    assert len({bytes(r.b) for r in rows if r.b is not None}) == len(texts) - 1
+    assert {r.k: len(r.b) for r in rows if r.k}[digest] == 32
