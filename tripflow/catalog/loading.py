@@ -14,6 +14,7 @@ from tripflow.operators import freshness, layout, ledger, reconcile, rules
 from tripflow.plans.ingest import ingest_month
 from tripflow.plans.refresh import refresh_mart
 from tripflow.sources import warehouse
+from tripflow.sources.raw import with_position
 from tripflow.sources.sample import SAMPLE_MONTH, SAMPLE_NOW
 from tripflow.sources.warehouse import MART_TABLE, Warehouse
 
@@ -59,10 +60,11 @@ def quarantine_insert(s: Sample) -> DataFrame:
 
 def _filled(s: Sample) -> Warehouse:
     """A warehouse with the fact table of all months, loaded in one batch."""
-    wh = s.new_warehouse()
+    wh, fact = s.new_warehouse(), with_position(s.fact)
     warehouse.insert_dimension(wh, "dim_date", s.dim_date, "date_key")
     warehouse.insert_dimension(wh, "dim_location", s.dim_location, "location_key")
-    warehouse.insert_fact(wh, s.fact, unique=True)
+    # The fact lies in a table already, whose places number it.
+    warehouse.insert_fact(wh, fact, unique=True, stored=fact)
     return wh
 
 

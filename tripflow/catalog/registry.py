@@ -97,9 +97,13 @@ class Sample:
         """The trips as a table: what looks at them several times joins order lines to orders only once."""
         return stage(self.trips, "trips")
 
+    @cached_property
+    def _judging(self) -> DataFrame:
+        return rules.judge(add_trip_id(self.stored_trips), self.context)
+
     @cached_property
     def judged(self) -> DataFrame:
-        return stage(rules.judge(add_trip_id(self.stored_trips), self.context), "judged")
+        return stage(self._judging, "judged")
 
     @property
     def good(self) -> DataFrame:
@@ -119,7 +123,9 @@ class Sample:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return stage(star.fact_rows(self.good, self.vendor, self.payment, self.rate_code), "fact")
+        # Read once: judged on the way, unless the judged table is there already.
+        good = rules.accepted(self.__dict__.get("judged", self._judging))
+        return stage(star.fact_rows(good, self.vendor, self.payment, self.rate_code), "fact")
 
     @property
     def unjudged_fact(self) -> DataFrame:
@@ -128,11 +134,19 @@ class Sample:
 
     @property
     def dim_date(self) -> DataFrame:
-        return star.date_rows(self.good)
+        return star.date_rows(self._dimension_values)
 
     @property
     def dim_location(self) -> DataFrame:
-        return star.location_rows(self.good)
+        return star.location_rows(self._dimension_values)
+
+    @property
+    def _dimension_values(self) -> DataFrame:
+        """Pickups and zones of the accepted trips; the fact, where it is stored, has the same ones."""
+        if "fact" not in self.__dict__:
+            return self.good
+        names = {"pickup_datetime": "tpep_pickup_datetime", "pickup_location_key": "PULocationID", "dropoff_location_key": "DOLocationID"}
+        return self.fact.withColumnsRenamed(names)
 
     @cached_property
     def mart(self) -> DataFrame:
