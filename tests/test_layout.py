@@ -48,3 +48,12 @@ def test_clustering_keeps_the_rows_and_reads_less(spark, tmp_path):
     # The blocks are real: row groups of the files.
     groups = [pq.ParquetFile(f).metadata for f in tmp_path.rglob("clustered/**/*.parquet")]
     assert max(m.row_group(g).num_rows for m in groups for g in range(m.num_row_groups)) <= 100
+
+
+def test_a_large_fact_is_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "RANGE_ROWS", 500, raising=False)
+    rows = fact(spark, 3000).withColumn("trip_id", F.sha2(F.monotonically_increasing_id().cast("string"), 256))
+    layout.write_clustered(rows, f"{tmp_path}/few", block_rows=100, tasks=1, unit="year")
+    assert len(list(tmp_path.glob("few/*/*.parquet"))) >= 4
+    stored = spark.read.parquet(f"{tmp_path}/few").select(rows.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect()))

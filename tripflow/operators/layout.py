@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.functions.keys import packed, unpacked
+from tripflow.session import shuffles_dropped
+
 FOLDER = "pickup_from"
 #: Bits of a zone and of a vendor key on the curve; higher bits of larger keys are cut off and cost order, not rows.
 ZONE_BITS, VENDOR_BITS = 9, 3
 BLOCK_ROWS = 1 << 20
+#: Rows that a task orders along the curve, about; more would be spilled.
+RANGE_ROWS = 1 << 20
 
 
 def bit_order() -> list[tuple[str, int]]:
@@ -37,20 +44,31 @@ def with_folder(fact: DataFrame, unit: str = "day") -> DataFrame:
 
 def write_in_blocks(placed: DataFrame, path: str, block_rows: int) -> None:
     """Write rows in their folders and in row groups of ``block_rows`` rows, in the order in which they come."""
-    placed.write.option("parquet.block.row.count.limit", block_rows).partitionBy(FOLDER).parquet(path)
+    writer = placed.write.option("parquet.block.row.count.limit", block_rows).option("compression", "zstd")
+    # Keys differ from row to row: a dictionary of a block's keys would only add their numbers.
+    writer = writer.option("parquet.enable.dictionary#trip_id", False)
+    with shuffles_dropped(placed.sparkSession):
+        writer.partitionBy(FOLDER).parquet(path)
 
 
 def write_clustered(fact: DataFrame, path: str, block_rows: int = BLOCK_ROWS, tasks: int | None = None, unit: str = "day") -> None:
     """Write the fact with a folder for each ``unit`` of pickup time and its rows along the curve.
 
     Ranges of (folder, curve) are dealt to tasks by a sample of the rows, so a busy day is split over
-    tasks and quiet days share one. ``tasks`` is how many to aim for.
+    tasks and quiet days share one. ``tasks`` is how many to aim for; a large fact has more, so that
+    none sorts much more than ``RANGE_ROWS`` rows.
     """
     place = curve(F.col("pickup_location_key"), F.col("vendor_key"))
     placed = with_folder(fact, unit).withColumn("_place", place)
     order = [FOLDER, "_place", "pickup_location_key", "vendor_key"]
+    keyed = "trip_id" in fact.columns
+    if keyed:
+        placed = placed.withColumn("trip_id", packed("trip_id"))
+    if tasks:
+        tasks = max(tasks, ceil(fact.count() / RANGE_ROWS))
     dealt = placed.repartitionByRange(tasks, *order) if tasks else placed.repartitionByRange(*order)
-    write_in_blocks(dealt.sortWithinPartitions(*order).drop("_place"), path, block_rows)
+    ordered = dealt.sortWithinPartitions(*order).drop("_place")
+    write_in_blocks(ordered.withColumn("trip_id", unpacked("trip_id")) if keyed else ordered, path, block_rows)
 
 
 def blocks_read(spark: SparkSession, path: str, column: str, block_rows: int) -> DataFrame:
